@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UNIT_STEPS = 1 << 52
 
@@ -24,10 +25,13 @@ def token_count(tokens: Column | str) -> Column:
     return F.size(tokens)
 
 
-@F.pandas_udf("int")
-def token_count_udf(tokens: pd.Series) -> pd.Series:
+def token_count_udf(tokens: Column | str) -> Column:
     """The user-defined form of :func:`token_count`, batched by Arrow."""
-    return tokens.map(len, na_action="ignore").astype("Int32")
+
+    def lengths(column: pd.Series) -> pd.Series:
+        return column.map(len)
+
+    return F.pandas_udf(lengths, T.IntegerType())(tokens)
 
 
 def items_of_line(line: Column | str) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml import feature as mf
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators.ordering import exact_quantiles, frequency_ranks
@@ -235,12 +235,29 @@ def fit_vocabulary(
     return mf.CountVectorizerModel.from_vocabulary(terms, inputCol=column, outputCol=out)
 
 
+def sparse_entries(column: str) -> Column:
+    """Non-zero entries of a vector column as an array of ``(index, value)`` structs."""
+    raw = F.unwrap_udt(column)
+    sparse = F.arrays_zip(raw["indices"], raw["values"])
+    dense = F.transform(raw["values"], lambda v, i: F.struct(i, v))
+    pairs = F.transform(
+        F.when(raw["type"] == 0, sparse).otherwise(dense),
+        lambda pair: F.struct(pair[0].alias("index"), pair[1].alias("value")),
+    )
+    return F.filter(pairs, lambda pair: pair["value"] != 0)
+
+
+def term_table(df: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """``index, term`` rows of a vocabulary held on the driver."""
+    return df.sparkSession.createDataFrame(list(enumerate(terms)), "index int, term string")
+
+
 def vector_terms(df: DataFrame, column: str, key: str, vocabulary: Sequence[str]) -> DataFrame:
     """Non-zero entries of a term vector as ``key, term, value`` rows."""
-    words = F.lit(list(vocabulary)) if vocabulary else F.array().cast("array<string>")
-    return df.select(key, F.posexplode(vector_to_array(column)).alias("index", "value")).where(
-        F.col("value") != 0
-    ).select(key, F.element_at(words, F.col("index") + 1).alias("term"), "value")
+    entries = df.select(key, F.inline(sparse_entries(column)))
+    # The vocabulary was cut to vocab_size terms when it was fitted, which bounds the broadcast.
+    words = F.broadcast(term_table(df, vocabulary))
+    return entries.join(words, "index").select(key, "term", "value")
 
 
 def hash_terms(df: DataFrame, column: str, out: str = "raw_features", num_features: int = 20) -> DataFrame:

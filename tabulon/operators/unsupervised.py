@@ -7,6 +7,7 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.operators.features import term_table
 from tabulon.session import held
 
 # Applying rules inside the library ships every rule to every task.
@@ -65,16 +66,17 @@ def fit_topics(
 
 def topic_table(model: mcl.LDAModel, vocabulary: list[str], n_terms: int = 3) -> DataFrame:
     """``topic, place, term, weight`` of the heaviest terms per topic."""
-    words = F.lit(vocabulary)
-    return (
-        model.describeTopics(n_terms)
-        .select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "t"))
-        .select(
-            "topic",
-            "place",
-            F.element_at(words, F.col("t.termIndices") + 1).alias("term"),
-            F.col("t.termWeights").alias("weight"),
-        )
+    topics = model.describeTopics(n_terms)
+    heaviest = topics.select(
+        "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "entry")
+    ).select(
+        "topic",
+        "place",
+        F.col("entry.termIndices").alias("index"),
+        F.col("entry.termWeights").alias("weight"),
+    )
+    return heaviest.join(term_table(topics, vocabulary), "index").select(
+        "topic", "place", "term", "weight"
     )
 
 
@@ -129,31 +131,39 @@ def predict_by_rules(model: FPGrowthModel, df: DataFrame, key: str, items: str =
     """Consequents of all matching rules that the basket does not hold yet.
 
     A bounded number of rules is shipped to the tasks; beyond it the rules stay a
-    table and baskets are matched to them by a join on the items.
+    table and baskets are matched to them by a join.
     """
-    rules = model.associationRules
-    if rules.limit(MAX_RULES_ON_DRIVER + 1).count() <= MAX_RULES_ON_DRIVER:
+    if model.associationRules.limit(MAX_RULES_ON_DRIVER + 1).count() <= MAX_RULES_ON_DRIVER:
         return model.transform(df)
-    return predict_by_join(rules, df, key, items)
-
-
-def predict_by_join(rules: DataFrame, df: DataFrame, key: str, items: str = "items") -> DataFrame:
-    """Rule prediction as a join: a rule fires once all its antecedent items are matched."""
-    parts = rules.select(
-        "antecedent",
-        F.size("antecedent").alias("needed"),
-        F.col("consequent")[0].alias("consequent"),
-    ).select("antecedent", "needed", "consequent", F.explode("antecedent").alias("item"))
-    matched = (
-        df.select(key, F.explode(items).alias("item"))
-        .join(parts, "item")
-        .groupBy(key, "antecedent", "consequent")
-        .agg(F.count(F.lit(1)).alias("found"), F.first("needed").alias("needed"))
-        .where(F.col("found") == F.col("needed"))
+    return predict_by_join(model, df, key, items)
+
+
+def predict_by_join(model: FPGrowthModel, df: DataFrame, key: str, items: str = "items") -> DataFrame:
+    """Rule prediction as a join: each rule waits at its rarest antecedent item.
+
+    A basket meets a rule at most once, and the frequent items, which most baskets
+    hold, bring few rules along.
+    """
+    frequency = model.freqItemsets.where(F.size("items") == 1).select(
+        F.col("items")[0].alias("item"), "freq"
+    )
+    waiting = (
+        model.associationRules.select(
+            "antecedent", F.col("consequent")[0].alias("consequent"), F.explode("antecedent").alias("item")
+        )
+        .join(frequency, "item")
+        .groupBy("antecedent", "consequent")
+        .agg(F.min_by("item", F.struct("freq", "item")).alias("item"))
+    )
+    fired = (
+        df.select(key, items, F.explode(F.array_distinct(items)).alias("item"))
+        .join(waiting, "item")
+        .where(F.size(F.array_except("antecedent", items)) == 0)
+        .where(~F.array_contains(F.col(items), F.col("consequent")))
         .groupBy(key)
-        .agg(F.collect_set("consequent").alias("all_consequents"))
+        .agg(F.collect_set("consequent").alias("prediction"))
     )
-    fresh = F.array_except("all_consequents", items)
-    return df.join(matched, key, "left").select(
-        *df.columns, F.coalesce(fresh, F.array().cast(df.schema[items].dataType)).alias("prediction")
+    nothing = F.array().cast(df.schema[items].dataType)
+    return df.join(fired, key, "left").select(
+        *df.columns, F.coalesce("prediction", nothing).alias("prediction")
     )
