@@ -238,11 +238,11 @@ def fit_vocabulary(
 def sparse_entries(column: str) -> Column:
     """Non-zero entries of a vector column as an array of ``(index, value)`` structs."""
     raw = F.unwrap_udt(column)
-    sparse = F.arrays_zip(raw["indices"], raw["values"])
-    dense = F.transform(raw["values"], lambda v, i: F.struct(i, v))
-    pairs = F.transform(
-        F.when(raw["type"] == 0, sparse).otherwise(dense),
-        lambda pair: F.struct(pair[0].alias("index"), pair[1].alias("value")),
+    index = F.when(raw["type"] == 0, raw["indices"]).otherwise(
+        F.sequence(F.lit(0), F.size(raw["values"]) - 1)
+    )
+    pairs = F.zip_with(
+        index, raw["values"], lambda i, v: F.struct(i.alias("index"), v.alias("value"))
     )
     return F.filter(pairs, lambda pair: pair["value"] != 0)
 

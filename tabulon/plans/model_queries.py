@@ -482,10 +482,13 @@ _SETS_SQL = f"""WITH {inputs.BASKETS_SQL}, n AS (SELECT count(DISTINCT basket) A
          ON x.basket = y.basket AND x.item < y.item GROUP BY 1, 2),
   s3 AS (SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS freq FROM pairs x JOIN pairs y
          ON x.basket = y.basket AND x.item < y.item JOIN pairs z ON y.basket = z.basket AND y.item < z.item GROUP BY 1, 2, 3),
-  rules AS (SELECT p.ante AS antecedent, p.cons AS consequent, p.freq / CAST(s.freq AS DOUBLE) AS confidence,
+  splits AS (SELECT [a] AS ante, b AS cons, freq FROM s2 UNION ALL SELECT [b], a, freq FROM s2
+             UNION ALL SELECT [a, b], c, freq FROM s3 UNION ALL SELECT [a, c], b, freq FROM s3
+             UNION ALL SELECT [b, c], a, freq FROM s3),
+  antes AS (SELECT [a] AS ante, freq FROM s1 UNION ALL SELECT [a, b], freq FROM s2),
+  rules AS (SELECT p.ante, p.cons, p.freq / CAST(s.freq AS DOUBLE) AS confidence,
                    p.freq / CAST(s.freq AS DOUBLE) / (t.freq / CAST(n AS DOUBLE)) AS lift, p.freq / CAST(n AS DOUBLE) AS support
-            FROM (SELECT a AS ante, b AS cons, freq FROM s2 UNION ALL SELECT b, a, freq FROM s2) p
-            JOIN s1 s ON s.a = p.ante JOIN s1 t ON t.a = p.cons, n
+            FROM splits p JOIN antes s ON s.ante = p.ante JOIN s1 t ON t.a = p.cons, n
             WHERE p.freq >= ceil({_SUPPORT} * n) AND p.freq / CAST(s.freq AS DOUBLE) >= {_CONFIDENCE})"""
 
 
@@ -503,7 +506,7 @@ def frequent_itemsets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "association_rules",
-    f"""{_SETS_SQL} SELECT antecedent, consequent, round(confidence, 6) + 0.0 AS confidence,
+    f"""{_SETS_SQL} SELECT array_to_string(ante, ',') AS antecedent, cons AS consequent, round(confidence, 6) + 0.0 AS confidence,
         round(lift, 6) + 0.0 AS lift, round(support, 6) + 0.0 AS support FROM rules""",
 )
 def association_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -513,11 +516,10 @@ def association_rules(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_all(unsupervised.rule_table(model), 6, "confidence", "lift", "support")
 
 
-_PREDICTED_SQL = f"""{_SETS_SQL}, fired AS (
-    SELECT DISTINCT p.basket, r.consequent FROM pairs p JOIN rules r ON r.antecedent = p.item
-    WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.basket = p.basket AND q.item = r.consequent))
-  SELECT b.basket, coalesce(string_agg(f.consequent, ',' ORDER BY f.consequent), '') AS predicted
-  FROM (SELECT DISTINCT basket FROM pairs) b LEFT JOIN fired f USING (basket) GROUP BY 1"""
+_PREDICTED_SQL = f"""{_SETS_SQL}, b AS (SELECT basket, list(item) AS items FROM pairs GROUP BY 1), fired AS (
+    SELECT DISTINCT basket, cons FROM b JOIN rules ON list_has_all(items, ante) AND NOT list_contains(items, cons))
+  SELECT b.basket, coalesce(string_agg(f.cons, ',' ORDER BY f.cons), '') AS predicted
+  FROM b LEFT JOIN fired f USING (basket) GROUP BY 1"""
 
 
 def _predicted(df: DataFrame) -> DataFrame:

@@ -157,7 +157,7 @@ def scan_wholetext(spark: SparkSession, folder: str) -> DataFrame:
     files = read_documents(spark, f"{path}/*")
     records = files.select(
         F.substring_index("topic", "=", -1).alias("topic"),
-        F.explode(F.split(F.rtrim(F.lit("\n"), F.col("text")), "\n")).alias("record"),
+        F.explode(F.split(F.rtrim(F.col("text"), F.lit("\n")), "\n")).alias("record"),
     )
     html = F.expr("substring(record, instr(record, '\t') + 1)")
     return records.select(
