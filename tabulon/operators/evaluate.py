@@ -85,7 +85,7 @@ def threshold_table(df: DataFrame, label: str = "label", score: str = "score") -
     reached = with_running_totals(
         counts, [F.desc("threshold")], {"tp": "positives", "fp": "negatives"}
     )
-    total = counts.agg(F.sum("positives"), F.sum("negatives")).first()
+    total = reached.agg(F.max("tp"), F.max("fp")).first()
     all_positive, all_negative = int(total[0] or 0), int(total[1] or 0)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     recall = F.try_divide("tp", F.lit(all_positive))

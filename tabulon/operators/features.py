@@ -109,10 +109,17 @@ def label_counts_fit_driver(df: DataFrame, columns: Sequence[str]) -> bool:
 
 
 def fit_string_index(
-    df: DataFrame, columns: Sequence[str], outputs: Sequence[str], handle_invalid: str = "error"
+    df: DataFrame,
+    columns: Sequence[str],
+    outputs: Sequence[str],
+    handle_invalid: str = "error",
+    counted: bool = False,
 ) -> mf.StringIndexerModel:
-    """One fit for all columns: index by falling frequency, equal counts by value."""
-    if not label_counts_fit_driver(df, columns):
+    """One fit for all columns: index by falling frequency, equal counts by value.
+
+    ``counted`` says that the caller has already bounded the number of labels.
+    """
+    if not counted and not label_counts_fit_driver(df, columns):
         raise ValueError(
             f"over {MAX_LABELS_ON_DRIVER} labels in one of {list(columns)}: "
             "use index_by_join, which keeps the labels in a table"
@@ -138,7 +145,7 @@ def index_strings(df: DataFrame, column: str, out: str, vocabulary: DataFrame |
     """String index by falling frequency, whatever the number of labels."""
     source = df if vocabulary is None else vocabulary
     if label_counts_fit_driver(source, [column]):
-        return fit_string_index(source, [column], [out]).transform(df)
+        return fit_string_index(source, [column], [out], counted=True).transform(df)
     return index_by_join(df, column, out, vocabulary)
 
 
@@ -260,6 +267,29 @@ def vector_terms(df: DataFrame, column: str, key: str, vocabulary: Sequence[str]
     return entries.join(words, "index").select(key, "term", "value")
 
 
+def count_terms(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``key, term, value``: term counts per document over all terms, without a vocabulary.
+
+    Unlike a vector over a vocabulary this has no limit on the number of terms.
+    """
+    terms = df.select(key, F.explode(column).alias("term"))
+    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("value"))
+
+
+def weigh_terms(counts: DataFrame, key: str, documents: int, min_doc_freq: int = 0) -> DataFrame:
+    """Multiply term counts by ``ln((N + 1) / (df + 1))``; entries of weight 0 are left out.
+
+    Document frequencies take a join on the term; a term found in most documents
+    is split by the adaptive skew join, its frequency being one row.
+    """
+    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weight = F.log((F.lit(documents) + 1.0) / (F.col("df") + 1.0))
+    weighted = counts.join(frequency.where(F.col("df") >= min_doc_freq), "term")
+    return weighted.select(key, "term", (F.col("value") * weight).alias("value")).where(
+        F.col("value") != 0
+    )
+
+
 def hash_terms(df: DataFrame, column: str, out: str = "raw_features", num_features: int = 20) -> DataFrame:
     return mf.HashingTF(inputCol=column, outputCol=out, numFeatures=num_features).transform(df)
 

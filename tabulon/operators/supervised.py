@@ -215,10 +215,14 @@ def fit_indexed_regressor(
     seed: int = 1,
     **params,
 ) -> PipelineModel:
-    """Vector index over all of ``data``, then a tree model fitted on ``train``."""
-    indexer = fit_vector_index(data, features, "indexed_features", max_categories)
-    model = tree_regressor(kind, "indexed_features", label, seed, **params)
-    return Pipeline(stages=[indexer, model]).fit(train)
+    """Vector index over all of ``data``, then a tree model fitted on ``train``.
+
+    ``train`` is ``data`` or derived from it, so holding ``data`` serves both fits.
+    """
+    with held(data):
+        indexer = fit_vector_index(data, features, "indexed_features", max_categories)
+        model = tree_regressor(kind, "indexed_features", label, seed, **params)
+        return Pipeline(stages=[indexer, model]).fit(train)
 
 
 def fit_indexed_classifier(
@@ -232,13 +236,14 @@ def fit_indexed_classifier(
     **params,
 ) -> PipelineModel:
     """Label and vector indexes over all of ``data``, a tree model, and labels mapped back."""
-    labels = fit_string_index(data, [label], ["indexed_label"])
-    indexer = fit_vector_index(data, features, "indexed_features", max_categories)
-    model = tree_classifier(kind, "indexed_features", "indexed_label", seed, **params)
-    back = IndexToString(
-        inputCol="prediction", outputCol="predicted_label", labels=labels.labelsArray[0]
-    )
-    return Pipeline(stages=[labels, indexer, model, back]).fit(train)
+    with held(data):
+        labels = fit_string_index(data, [label], ["indexed_label"])
+        indexer = fit_vector_index(data, features, "indexed_features", max_categories)
+        model = tree_classifier(kind, "indexed_features", "indexed_label", seed, **params)
+        back = IndexToString(
+            inputCol="prediction", outputCol="predicted_label", labels=labels.labelsArray[0]
+        )
+        return Pipeline(stages=[labels, indexer, model, back]).fit(train)
 
 
 def model_stage(model: PipelineModel) -> Model:

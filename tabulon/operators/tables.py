@@ -40,19 +40,15 @@ def column_arity(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame
     sketch = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
     # The sketch errs by about 2 %; a column twice over the limit is beyond doubt.
     near = [c for c in columns if sketch[c] <= 2 * limit]
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in near]
+    )
     exact = (
-        reduce(
-            DataFrame.unionByName,
-            [
-                df.select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-                for c in near
-            ],
-        )
+        df.select(F.inline(pairs))
         .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.lit(1).alias("one"))
+        .distinct()
         .groupBy("feature")
-        .agg(F.count("one").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         if near
         else spark.createDataFrame([], "feature string, n long")
     )
@@ -211,13 +207,13 @@ def top_supported(scored: DataFrame, min_count: int = 25, k: int = 25) -> DataFr
     )
 
 
-def top_per_user(scored: DataFrame, k: int = 25) -> DataFrame:
-    """The ``k`` best ``score`` rows per user.
+def top_per_user(scored: DataFrame, k: int = 25, digits: int = 6) -> DataFrame:
+    """The ``k`` best ``score`` rows per user; scores equal to ``digits`` places rank by item.
 
     The rank filter lets Spark keep at most ``k`` rows per user and task before
     the shuffle, so one user with a huge candidate list does not load one task.
     """
-    best_first = Window.partitionBy("user_id").orderBy(F.desc("score"), "item_id")
+    best_first = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", digits)), "item_id")
     return scored.withColumn("place", F.row_number().over(best_first)).where(F.col("place") <= k)
 
 

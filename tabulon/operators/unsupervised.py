@@ -64,6 +64,20 @@ def fit_topics(
         return lda.fit(rows)
 
 
+def topic_fit(model: mcl.LDAModel, df: DataFrame, features: str = "features") -> DataFrame:
+    """One row: lower bound on the log likelihood, and the perplexity bound per token.
+
+    The perplexity bound is the likelihood bound over the token count with its sign
+    turned, so one inference pass over the corpus gives both.
+    """
+    weight = F.aggregate(F.unwrap_udt(features)["values"], F.lit(0.0), lambda s, v: s + v)
+    tokens = df.agg(F.sum(weight)).first()[0]
+    likelihood = float(model.logLikelihood(df))
+    return df.sparkSession.createDataFrame(
+        [(likelihood, -likelihood / tokens)], "log_likelihood double, log_perplexity double"
+    )
+
+
 def topic_table(model: mcl.LDAModel, vocabulary: list[str], n_terms: int = 3) -> DataFrame:
     """``topic, place, term, weight`` of the heaviest terms per topic."""
     topics = model.describeTopics(n_terms)

@@ -30,7 +30,7 @@ shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought th
 what's when's where's who's why's would
 """.split()
 
-_STOPS = "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH_STOP_WORDS) + "]"
+STOPS = "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH_STOP_WORDS) + "]"
 
 
 def _lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -271,7 +271,7 @@ def regex_tokenize(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "remove_stopwords",
-    f"""WITH {W}, kept AS (SELECT doc_id, list_filter(words, lambda w: NOT list_contains({_STOPS}, w)) AS words FROM words)
+    f"""WITH {W}, kept AS (SELECT doc_id, list_filter(words, lambda w: NOT list_contains({STOPS}, w)) AS words FROM words)
         SELECT doc_id, CAST(len(words) AS INTEGER) AS n, md5(array_to_string(words, ' ')) AS digest FROM kept""",
 )
 def remove_stopwords(spark: SparkSession, folder: str) -> DataFrame:
@@ -297,9 +297,9 @@ _PAIRS = f"{W}, pairs AS (SELECT doc_id, unnest(words) AS term FROM words)"
     f"WITH {_PAIRS} SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS value FROM pairs GROUP BY 1, 2",
 )
 def count_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    words = features.tokenize(inputs.documents(spark, folder), "text").select("doc_id", "words")
-    model = features.fit_vocabulary(words, "words")
-    return features.vector_terms(model.transform(words), "features", "doc_id", model.vocabulary)
+    """Counts of all terms of all documents."""
+    words = features.tokenize(inputs.documents(spark, folder), "text")
+    return features.count_terms(words, "doc_id", "words")
 
 
 @query(
@@ -324,8 +324,26 @@ def count_vectors_top3(spark: SparkSession, folder: str) -> DataFrame:
         FROM tf JOIN df USING (term), n WHERE df < n""",
 )
 def tf_idf(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights of all terms of all documents."""
+    docs = inputs.documents(spark, folder)
+    counts = features.count_terms(features.tokenize(docs, "text"), "doc_id", "words")
+    weighted = features.weigh_terms(counts, "doc_id", documents=docs.count())
+    return weighted.withColumn("value", rounded("value", 6))
+
+
+@query(
+    "tf_idf_vectors",
+    f"""WITH {_PAIRS}, n AS (SELECT count(*) AS n FROM documents),
+          top AS (SELECT term, count(DISTINCT doc_id) AS df FROM pairs GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2
+                  ORDER BY count(*) DESC, term LIMIT 1000),
+          tf AS (SELECT doc_id, term, count(*) AS tf FROM pairs GROUP BY 1, 2)
+        SELECT doc_id, term, round(tf * ln((n + 1.0) / (df + 1.0)), 6) + 0.0 AS value
+        FROM tf JOIN top USING (term), n WHERE df < n""",
+)
+def tf_idf_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in vectors over the thousand most frequent terms."""
     words = features.tokenize(inputs.documents(spark, folder), "text").select("doc_id", "words")
-    counted = features.fit_vocabulary(words, "words", out="counts")
+    counted = features.fit_vocabulary(words, "words", out="counts", vocab_size=1000, min_df=2)
     vectors = counted.transform(words).drop("words")
     weighted = features.fit_idf(vectors, "counts").transform(vectors)
     entries = features.vector_terms(weighted, "features", "doc_id", counted.vocabulary)
@@ -354,6 +372,25 @@ def word2vec(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *[rounded(c, 6).alias(c) for c in ("v0", "v1", "v2")])
 
 
+@query(
+    "word2vec_mean_gap",
+    f"""WITH {W} SELECT doc_id, CAST(len(words) AS BIGINT) AS n, 0.0::DOUBLE AS gap FROM words""",
+)
+def word2vec_mean_gap(spark: SparkSession, folder: str) -> DataFrame:
+    """Distance of each document vector from the mean of its word vectors, which is none."""
+    words = features.tokenize(inputs.documents(spark, folder), "text").select("doc_id", "words")
+    model = features.fit_word_vectors(words, "words", size=3, min_count=0, seed=1)
+    by_word = features.vector_as_array(model.getVectors(), "vector", "w").drop("vector")
+    tokens = words.select("doc_id", F.explode("words").alias("word")).join(by_word, "word")
+    axes = range(3)
+    means = tokens.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(F.col("w")[i]).alias(f"m{i}") for i in axes]
+    )
+    whole = features.vector_columns(model.transform(words).drop("words"), "vector", ["v0", "v1", "v2"])
+    gap = F.greatest(*[F.abs(F.col(f"m{i}") - F.col(f"v{i}")) for i in axes])
+    return means.join(whole, "doc_id").select("doc_id", "n", rounded(gap, 4).alias("gap"))
+
+
 # --- whole tables ------------------------------------------------------------
 
 
@@ -400,3 +437,16 @@ def pca_project(spark: SparkSession, folder: str) -> DataFrame:
     projected = model.transform(rows).select("vec_id", "pca")
     out = features.vector_columns(projected, "pca", ["a0", "a1", "a2"])
     return out.select("vec_id", *[rounded(c, 6).alias(c) for c in ("a0", "a1", "a2")])
+
+
+@query(
+    "pca_rotation",
+    """SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) * v)), 6) + 0.0 AS squared_length
+        FROM embeddings""",
+)
+def pca_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    """On all 64 axes the projection is a rotation, so it keeps every length."""
+    rows = inputs.vectors(spark, folder)
+    projected = features.fit_pca(rows, "features", k=64).transform(rows)
+    length = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda s, v: s + v * v)
+    return projected.select("vec_id", rounded(length, 6).alias("squared_length"))

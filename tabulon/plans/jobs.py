@@ -42,14 +42,15 @@ def prepare_table(
     columns = [c for c in train.columns if c not in (key, label)]
     categories = [c for c in columns if c.startswith("cat")]
     both = tables.union_all(*[frame.select(*categories) for frame in (train, *others)])
-    kept = {
-        row["feature"]
-        for row in tables.column_arity(both, categories, max_arity).where("kept").collect()
-    }
+    with held(both) as (values,):
+        arity = tables.column_arity(values, categories, max_arity)
+        kept = {row["feature"] for row in arity.where("kept").collect()}
+        indexed = [c for c in categories if c in kept]
+        index = features.fit_string_index(
+            values, indexed, ["idx_" + c for c in indexed], counted=True
+        )
     used = [c for c in columns if c not in categories or c in kept]
     names = tables.feature_columns(used, dropped=(key, label))
-    indexed = [c for c in categories if c in kept]
-    index = features.fit_string_index(both, indexed, ["idx_" + c for c in indexed])
 
     def shaped(frame: DataFrame) -> TabularData:
         ready = features.vectorised(index.transform(frame), names)
@@ -168,6 +169,7 @@ def recommend(
     users: Sequence[int],
     k: int = 25,
     min_count: int = 25,
+    digits: int = 6,
     **settings,
 ) -> DataFrame:
     """Top ``k`` items per new user among items with at least ``min_count`` ratings.
@@ -176,7 +178,7 @@ def recommend(
     before they were added. Only supported, titled, unrated items are scored.
     """
     fitted = recommend_model(ratings, new_ratings, **settings)
-    return recommend_with(fitted, ratings, items, new_ratings, users, k, min_count)
+    return recommend_with(fitted, ratings, items, new_ratings, users, k, min_count, digits)
 
 
 def recommend_model(ratings: DataFrame, new_ratings: DataFrame, **settings) -> Recommender:
@@ -191,6 +193,7 @@ def recommend_with(
     users: Sequence[int],
     k: int = 25,
     min_count: int = 25,
+    digits: int = 6,
 ) -> DataFrame:
     supported = tables.item_stats(ratings).where(F.col("n_ratings") >= min_count)
     eligible = items.select("item_id", "title").join(
@@ -198,6 +201,6 @@ def recommend_with(
     )
     scored = score_users(fitted, eligible, users)
     fresh = scored.join(new_ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    return tables.top_per_user(fresh, k).select(
+    return tables.top_per_user(fresh, k, digits).select(
         "user_id", "place", "item_id", "title", "score", "n_ratings"
     )

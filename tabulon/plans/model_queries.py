@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tabulon.functions import prefix_label
 from tabulon.operators import evaluate, features, supervised, tables, unsupervised
 from tabulon.plans import inputs, jobs
+from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
 from tabulon.sources import read_table
 
@@ -33,9 +34,32 @@ def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     return features.vectorised(lines, ["l_quantity"])
 
 
-@query("linear_regression")
+@query(
+    "linear_regression",
+    f"""WITH {inputs.INSURANCE_SQL}, m AS (
+          SELECT corr(loss / 1000, cont1) AS r, stddev_pop(loss / 1000) AS sy, stddev_pop(cont1) AS sx,
+                 avg(loss / 1000) AS my, avg(cont1) AS mx FROM insurance),
+        f AS (SELECT *, sign(r) * greatest(abs(r) - 0.8 * 0.3 / sy, 0) / (1 + 0.2 * 0.3 / sy) * sy / sx AS b FROM m)
+        SELECT 'cont1' AS term, round(b, 4) + 0.0 AS coefficient FROM f
+        UNION ALL SELECT '(intercept)', round(my - b * mx, 4) + 0.0 FROM f""",
+)
 def linear_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Elastic net with the usual parameters on three features."""
+    """Elastic net with the usual parameters; with one feature it has a closed form."""
+    return _rounded_all(
+        supervised.linear_table(spark, supervised.fit_linear(_quantity_loss(spark, folder)), ["cont1"]),
+        4,
+        "coefficient",
+    )
+
+
+def _quantity_loss(spark: SparkSession, folder: str) -> DataFrame:
+    rows = inputs.insurance(spark, folder).select("cont1", (F.col("loss") / 1000).alias("label"))
+    return features.vectorised(rows, ["cont1"])
+
+
+@query("elastic_net_three")
+def elastic_net_three(spark: SparkSession, folder: str) -> DataFrame:
+    """Elastic net on three features."""
     rows = inputs.line_vectors(spark, folder).withColumnRenamed("l_extendedprice", "label")
     model = supervised.fit_linear(rows)
     return _rounded_all(supervised.linear_table(spark, model, NAMES), 4, "coefficient")
@@ -85,11 +109,19 @@ def ols_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("glm_regularised")
+@query(
+    "glm_regularised",
+    f"""WITH {inputs.INSURANCE_SQL}, m AS (
+          SELECT corr(loss / 1000, cont1) AS r, stddev_pop(loss / 1000) AS sy, stddev_pop(cont1) AS sx,
+                 avg(loss / 1000) AS my, avg(cont1) AS mx FROM insurance),
+        f AS (SELECT *, r / (1 + 0.3 / sy) * sy / sx AS b FROM m)
+        SELECT 'cont1' AS term, round(b, 4) + 0.0 AS coefficient FROM f
+        UNION ALL SELECT '(intercept)', round(my - b * mx, 4) + 0.0 FROM f""",
+)
 def glm_regularised(spark: SparkSession, folder: str) -> DataFrame:
-    rows = inputs.line_vectors(spark, folder).withColumnRenamed("l_extendedprice", "label")
-    model = supervised.fit_glm(rows)
-    return _rounded_all(supervised.linear_table(spark, model, NAMES), 4, "coefficient")
+    """Gaussian model with an L2 penalty of 0.3."""
+    model = supervised.fit_glm(_quantity_loss(spark, folder))
+    return _rounded_all(supervised.linear_table(spark, model, ["cont1"]), 4, "coefficient")
 
 
 _GLM_SQL = """WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a,
@@ -138,9 +170,10 @@ def glm_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _binary_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether an order line costs more than 50,000, from quantity, discount and tax."""
+    """Whether price and a bonus per piece exceed a bound, from quantity, discount and tax."""
     rows = inputs.line_vectors(spark, folder)
-    return rows.withColumn("label", (F.col("l_extendedprice") > 50_000).cast("double"))
+    total = F.col("l_extendedprice") + F.col("l_quantity") * 1000
+    return rows.withColumn("label", (total > 75_000).cast("double"))
 
 
 @query("logistic")
@@ -165,10 +198,22 @@ def logistic_roc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("logistic_multinomial_family")
-def logistic_multinomial_family(spark: SparkSession, folder: str) -> DataFrame:
-    model = supervised.fit_logistic(_binary_lines(spark, folder), reg=0.01, family="multinomial")
-    return _rounded_all(supervised.logistic_table(spark, model, NAMES), 4, "coefficient")
+@query(
+    "logistic_score_equations",
+    """WITH d AS (SELECT CAST(l_extendedprice + l_quantity * 1000 > 75000 AS DOUBLE) AS y, l_quantity, l_discount, l_tax FROM lineitem)
+       SELECT round(avg(y), 5) + 0.0 AS share, round(avg(y * l_quantity), 5) + 0.0 AS by_quantity,
+              round(avg(y * l_discount), 5) + 0.0 AS by_discount, round(avg(y * l_tax), 5) + 0.0 AS by_tax FROM d""",
+)
+def logistic_score_equations(spark: SparkSession, folder: str) -> DataFrame:
+    """Without a penalty, the fitted probabilities match the labels in every feature's moment."""
+    rows = _binary_lines(spark, folder)
+    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=100, tol=1e-12)
+    scored = supervised.with_probability(model.transform(rows))
+    moments = {"by_quantity": "l_quantity", "by_discount": "l_discount", "by_tax": "l_tax"}
+    return scored.agg(
+        rounded(F.avg("p"), 5).alias("share"),
+        *[rounded(F.avg(F.col("p") * F.col(c)), 5).alias(name) for name, c in moments.items()],
+    )
 
 
 def _one_hot_priority(spark: SparkSession, folder: str, label: str) -> DataFrame:
@@ -180,21 +225,39 @@ def _one_hot_priority(spark: SparkSession, folder: str, label: str) -> DataFrame
     return features.index_strings(hot, "status", "label")
 
 
-@query(
-    "logit_groups",
-    """SELECT o_orderpriority AS priority, count(*) AS n, round(avg(CAST(o_totalprice > 250000 AS DOUBLE)), 4) + 0.0 AS p
-       FROM orders GROUP BY 1""",
-)
-def logit_groups(spark: SparkSession, folder: str) -> DataFrame:
+_GROUP_RATES_SQL = """SELECT o_orderpriority AS priority, count(*) AS n, round(avg(CAST(o_totalprice > 250000 AS DOUBLE)), 4) + 0.0 AS p
+  FROM orders GROUP BY 1"""
+
+
+def _group_rates(spark: SparkSession, folder: str, family: str) -> DataFrame:
     """Without a penalty, a logistic fit on one-hot groups gives the group rates."""
     rows = _one_hot_priority(spark, folder, "dear")
-    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=200, tol=1e-12)
+    model = supervised.fit_logistic(
+        rows, reg=0.0, elastic_net=0.0, max_iter=200, tol=1e-12, family=family
+    )
     scored = supervised.with_probability(model.transform(rows))
     return scored.groupBy("priority").agg(
         F.count(F.lit(1)).alias("n"), rounded(F.avg("p"), 4).alias("p")
     )
 
 
+@query("logit_groups", _GROUP_RATES_SQL)
+def logit_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return _group_rates(spark, folder, "auto")
+
+
+@query("logistic_multinomial_family", _GROUP_RATES_SQL)
+def logistic_multinomial_family(spark: SparkSession, folder: str) -> DataFrame:
+    return _group_rates(spark, folder, "multinomial")
+
+
+@query("multinomial_coefficients")
+def multinomial_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    """Coefficient matrix and intercepts of the multinomial family on two classes."""
+    model = supervised.fit_logistic(_binary_lines(spark, folder), reg=0.01, elastic_net=0.0, family="multinomial")
+    return _rounded_all(supervised.logistic_table(spark, model, NAMES), 4, "coefficient")
+
+
 @query(
     "multiclass_logit_groups",
     """WITH g AS (SELECT o_orderpriority AS priority, o_orderstatus AS status, count(*) AS c FROM orders GROUP BY 1, 2)
@@ -232,16 +295,20 @@ def mlp(spark: SparkSession, folder: str) -> DataFrame:
 # --- trees -------------------------------------------------------------------
 
 
+def _group_model(spark: SparkSession, folder: str, kind: str, **params):
+    orders = inputs.priced_orders(spark, folder)
+    indexed = features.index_strings(orders, "priority", "priority_index")
+    rows = features.vectorised(indexed, ["priority_index"])
+    return rows, supervised.fit_indexed_regressor(rows, rows, kind, max_categories=5, **params)
+
+
 def group_tree(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
     """Order price predicted from the priority class alone, by the general tree job.
 
     With one categorical feature and depth to spare, a regression tree ends in one
     leaf per category, so its predictions are the group means.
     """
-    orders = inputs.priced_orders(spark, folder)
-    indexed = features.index_strings(orders, "priority", "priority_index")
-    rows = features.vectorised(indexed, ["priority_index"])
-    model = supervised.fit_indexed_regressor(rows, rows, kind, max_categories=5, **params)
+    rows, model = _group_model(spark, folder, kind, **params)
     return model.transform(rows)
 
 
@@ -273,26 +340,48 @@ def gbt_regress_exact(spark: SparkSession, folder: str) -> DataFrame:
     return _group_predictions(group_tree(spark, folder, "boosted", maxDepth=5, maxIter=1))
 
 
-@query(
-    "tree_majority",
-    """WITH g AS (SELECT o_orderpriority AS priority, o_orderstatus AS status, count(*) AS c FROM orders GROUP BY 1, 2),
-            t AS (SELECT o_orderstatus AS status, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) AS place FROM orders GROUP BY 1)
-       SELECT priority, arg_max(status, c * 100 - place) AS predicted, CAST(sum(c) AS BIGINT) AS n
-       FROM g JOIN t USING (status) GROUP BY 1""",
-)
-def tree_majority(spark: SparkSession, folder: str) -> DataFrame:
+def _group_majority(spark: SparkSession, folder: str, kind: str, label: str, **params) -> DataFrame:
     """With one categorical feature the predicted class is the majority of its group."""
-    orders = inputs.priced_orders(spark, folder).drop("label")
-    indexed = features.index_strings(orders, "priority", "priority_index")
+    orders = inputs.priced_orders(spark, folder)
+    dear = F.when(F.col("label") > 250_000, "dear").otherwise("cheap")
+    named = orders.withColumn("dear", dear).drop("label")
+    indexed = features.index_strings(named, "priority", "priority_index")
     rows = features.vectorised(indexed, ["priority_index"])
     model = supervised.fit_indexed_classifier(
-        rows, rows, "tree", label="status", max_categories=5, maxDepth=5
+        rows, rows, kind, label=label, max_categories=5, maxDepth=5, **params
     )
     return model.transform(rows).groupBy("priority", F.col("predicted_label").alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
+def _majority_sql(label: str) -> str:
+    return f"""WITH d AS (SELECT o_orderpriority AS priority, {label} AS label FROM orders),
+      g AS (SELECT priority, label, count(*) AS c FROM d GROUP BY 1, 2),
+      t AS (SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) AS place FROM d GROUP BY 1)
+    SELECT priority, arg_max(label, c * 100 - place) AS predicted, CAST(sum(c) AS BIGINT) AS n
+    FROM g JOIN t USING (label) GROUP BY 1"""
+
+
+_DEAR_SQL = "CASE WHEN o_totalprice > 250000 THEN 'dear' ELSE 'cheap' END"
+
+
+@query("tree_majority", _majority_sql("o_orderstatus"))
+def tree_majority(spark: SparkSession, folder: str) -> DataFrame:
+    return _group_majority(spark, folder, "tree", "status")
+
+
+@query("forest_majority", _majority_sql("o_orderstatus"))
+def forest_majority(spark: SparkSession, folder: str) -> DataFrame:
+    params = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    return _group_majority(spark, folder, "forest", "status", **params)
+
+
+@query("gbt_majority", _majority_sql(_DEAR_SQL))
+def gbt_majority(spark: SparkSession, folder: str) -> DataFrame:
+    return _group_majority(spark, folder, "boosted", "dear", maxIter=1)
+
+
 def _parts(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """70 and 30 percent of the rows, by key."""
     split = tables.with_split(rows, [key], {"train": 7, "test": 3}, seed=1)
@@ -352,13 +441,24 @@ def gbt_regress(spark: SparkSession, folder: str) -> DataFrame:
     return _regressed(spark, folder, "boosted", maxIter=10)
 
 
-@query("tree_summary")
-def tree_summary(spark: SparkSession, folder: str) -> DataFrame:
+@query("forest_summary")
+def forest_summary(spark: SparkSession, folder: str) -> DataFrame:
     rows = _line_features(spark, folder).rows
     model = supervised.fit_indexed_regressor(rows, rows, "forest", max_categories=32, numTrees=5)
     return supervised.tree_summary(spark, supervised.model_stage(model))
 
 
+@query(
+    "tree_summary",
+    """SELECT 'DecisionTreeRegressionModel' AS model, CAST(1 AS INTEGER) AS n_trees,
+              CAST(2 * count(DISTINCT o_orderpriority) - 1 AS INTEGER) AS n_nodes FROM orders""",
+)
+def tree_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """A binary tree with one leaf per category has one inner node fewer than leaves."""
+    rows, model = _group_model(spark, folder, "tree", maxDepth=5)
+    return supervised.tree_summary(spark, supervised.model_stage(model)).drop("depth")
+
+
 @query("feature_importances")
 def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
     data = _line_features(spark, folder)
@@ -370,9 +470,12 @@ def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
 # --- clusters and topics -----------------------------------------------------
 
 
-@query("kmeans")
+@query(
+    "kmeans",
+    "SELECT 2::BIGINT AS n_clusters, count(*) AS n, 0.0::DOUBLE AS max_gap FROM embeddings",
+)
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    """Two clusters of the embeddings: sizes, and the distance of centres from member means."""
+    """Two clusters of the embeddings; at convergence every centre is its members' mean."""
     rows = inputs.vectors(spark, folder)
     model = unsupervised.fit_kmeans(rows, k=2, seed=1, max_iter=200, tol=0.0)
     assigned = model.transform(rows).select(
@@ -383,9 +486,22 @@ def kmeans(spark: SparkSession, folder: str) -> DataFrame:
     )
     centres = unsupervised.centre_table(spark, model).withColumnRenamed("cluster", "prediction")
     joined = means.join(centres, ["prediction", "axis"])
-    return joined.groupBy(F.col("prediction").alias("cluster")).agg(
-        F.max("n").alias("n"), rounded(F.max(F.abs(F.col("mean") - F.col("value"))), 6).alias("max_gap")
+    per_cluster = joined.groupBy("prediction").agg(
+        F.max("n").alias("n"), F.max(F.abs(F.col("mean") - F.col("value"))).alias("gap")
     )
+    return per_cluster.agg(
+        F.count(F.lit(1)).alias("n_clusters"),
+        F.sum("n").alias("n"),
+        rounded(F.max("gap"), 6).alias("max_gap"),
+    )
+
+
+@query("kmeans_assignments")
+def kmeans_assignments(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of each embedding."""
+    rows = inputs.vectors(spark, folder)
+    model = unsupervised.fit_kmeans(rows, k=2, seed=1)
+    return model.transform(rows).select("vec_id", "prediction")
 
 
 @query(
@@ -439,6 +555,25 @@ def gmm(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_all(found, 4, "weight", "mean", "variance")
 
 
+@query(
+    "gmm_moments",
+    """SELECT CAST(axis AS INTEGER) AS axis, round(m, 5) + 0.0 AS mean, round(sq, 2) + 0.0 AS mean_square FROM (
+         SELECT 0 AS axis, avg(l_quantity) AS m, avg(l_quantity * l_quantity) AS sq FROM lineitem
+         UNION ALL SELECT 1, avg(l_discount), avg(l_discount * l_discount) FROM lineitem
+         UNION ALL SELECT 2, avg(l_tax), avg(l_tax * l_tax) FROM lineitem)""",
+)
+def gmm_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Whatever optimum is found, the mixture has the mean and mean square of the data."""
+    rows = inputs.line_vectors(spark, folder)
+    model = unsupervised.fit_mixture(rows, k=2, seed=0, max_iter=20)
+    parts = unsupervised.mixture_table(spark, model)
+    square = F.col("variance") + F.col("mean") * F.col("mean")
+    return parts.groupBy("axis").agg(
+        rounded(F.sum(F.col("weight") * F.col("mean")), 5).alias("mean"),
+        rounded(F.sum(F.col("weight") * square), 2).alias("mean_square"),
+    )
+
+
 def _topic_model(spark: SparkSession, folder: str):
     words = jobs.text_tokens(inputs.documents(spark, folder).select("doc_id", "text"))
     vocabulary = features.fit_vocabulary(words, "filtered", min_df=2)
@@ -452,24 +587,27 @@ def lda_topics(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_all(unsupervised.topic_table(model, vocabulary, 3), 6, "weight")
 
 
-@query("lda_mix")
+@query(
+    "lda_mix",
+    f"""WITH {inputs.WORDS_SQL}, kept AS (
+          SELECT doc_id, unnest(list_filter(words, lambda w: NOT list_contains({STOPS}, w))) AS term FROM words),
+        known AS (SELECT term FROM kept GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2),
+        covered AS (SELECT DISTINCT doc_id FROM kept JOIN known USING (term))
+        SELECT d.doc_id, CASE WHEN c.doc_id IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS total
+        FROM documents d LEFT JOIN covered c USING (doc_id)""",
+)
 def lda_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """Heaviest topic of each document, and the sum of its topic shares."""
+    """Sum of the topic shares per document: one, or zero where no term is in the vocabulary."""
     model, vectors, _ = _topic_model(spark, folder)
-    mix = vector_to_array("topicDistribution")
-    scored = model.transform(vectors).select("doc_id", mix.alias("mix"))
-    return scored.select(
-        "doc_id",
-        (F.array_position("mix", F.array_max("mix")) - 1).alias("topic"),
-        rounded(F.aggregate("mix", F.lit(0.0), lambda s, v: s + v), 6).alias("total"),
-    )
+    shares = vector_to_array("topicDistribution")
+    total = F.aggregate(shares, F.lit(0.0), lambda s, v: s + v)
+    return model.transform(vectors).select("doc_id", rounded(total, 6).alias("total"))
 
 
 @query("lda_fit")
 def lda_fit(spark: SparkSession, folder: str) -> DataFrame:
     model, vectors, _ = _topic_model(spark, folder)
-    row = (float(model.logLikelihood(vectors)), float(model.logPerplexity(vectors)))
-    found = spark.createDataFrame([row], "log_likelihood double, log_perplexity double")
+    found = unsupervised.topic_fit(model, vectors)
     return _rounded_all(found, 4, "log_likelihood", "log_perplexity")
 
 

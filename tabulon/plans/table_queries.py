@@ -239,9 +239,26 @@ def index_union(spark: SparkSession, folder: str) -> DataFrame:
 @query("random_split")
 def random_split(spark: SparkSession, folder: str) -> DataFrame:
     """Seeded 6:2:2 random split of the ratings, counted per part."""
+    return tables.part_counts(_random_parts(spark, folder))
+
+
+def _random_parts(spark: SparkSession, folder: str) -> DataFrame:
     parts = tables.random_split(inputs.ratings(spark, folder), [6, 2, 2], seed=0)
-    named = [part.select(F.lit(name).alias("part")) for name, part in zip(SHARES, parts)]
-    return tables.part_counts(tables.union_all(*named))
+    named = [
+        part.select(F.lit(name).alias("part"), "user_id", "item_id")
+        for name, part in zip(SHARES, parts)
+    ]
+    return tables.union_all(*named)
+
+
+@query(
+    "random_split_whole",
+    f"""WITH {R} SELECT user_id, item_id, 1::BIGINT AS n_parts FROM ratings""",
+)
+def random_split_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rating falls in exactly one part of the random split."""
+    parts = _random_parts(spark, folder)
+    return parts.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n_parts"))
 
 
 @query("hash_split")
@@ -257,12 +274,41 @@ def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
     return tables.sample_rows(lines, fraction=0.1, seed=10)
 
 
+@query(
+    "sample_share",
+    "SELECT count(*) AS n_rows, true AS near_fraction FROM lineitem",
+)
+def sample_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a ten percent sample is within five standard deviations of its expected size."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey")
+    sampled = tables.sample_rows(lines, fraction=0.1, seed=10).agg(F.count(F.lit(1)).alias("n"))
+    whole = lines.agg(F.count(F.lit(1)).alias("n_rows"))
+    off = F.abs(F.col("n") - F.col("n_rows") * 0.1)
+    near = off <= 5 * F.sqrt(F.col("n_rows") * 0.09)
+    both = whole.select("n_rows", F.lit(1).alias("one")).join(
+        sampled.select("n", F.lit(1).alias("one")), "one"
+    )
+    return both.select("n_rows", near.alias("near_fraction"))
+
+
 @query("take_sample")
 def take_sample(spark: SparkSession, folder: str) -> DataFrame:
     docs = inputs.documents(spark, folder).select("doc_id", "source")
     return tables.take_sample(docs, 20, seed=10)
 
 
+@query(
+    "take_sample_size",
+    "SELECT least(count(*), 20) AS n, least(count(*), 20) AS n_distinct FROM documents",
+)
+def take_sample_size(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed-size sample has exactly that many rows, all of them different."""
+    docs = inputs.documents(spark, folder).select("doc_id")
+    return tables.take_sample(docs, 20, seed=10).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_distinct")
+    )
+
+
 @query(
     "path_parts",
     "SELECT page_id, string_split(url, '/')[-1] AS id, string_split(url, '/')[-2] AS topic FROM pages",
