@@ -276,15 +276,23 @@ def count_terms(df: DataFrame, key: str, column: str) -> DataFrame:
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
-def weigh_terms(counts: DataFrame, key: str, documents: int, min_doc_freq: int = 0) -> DataFrame:
-    """Multiply term counts by ``ln((N + 1) / (df + 1))``; entries of weight 0 are left out.
+def weigh_terms(
+    df: DataFrame, key: str, column: str, documents: int, min_doc_freq: int = 0
+) -> DataFrame:
+    """``key, term, value``: term counts times ``ln((N + 1) / (df + 1))``, zeros left out.
 
-    Document frequencies take a join on the term; a term found in most documents
-    is split by the adaptive skew join, its frequency being one row.
+    A document adds each term once to the frequencies, which therefore shrink to a
+    row per term before they are shuffled. They meet the counts in a join on the
+    term, where a term of most documents is split by the adaptive skew join.
     """
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = (
+        df.select(F.explode(F.array_distinct(column)).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .where(F.col("df") >= min_doc_freq)
+    )
     weight = F.log((F.lit(documents) + 1.0) / (F.col("df") + 1.0))
-    weighted = counts.join(frequency.where(F.col("df") >= min_doc_freq), "term")
+    weighted = count_terms(df, key, column).join(frequency, "term")
     return weighted.select(key, "term", (F.col("value") * weight).alias("value")).where(
         F.col("value") != 0
     )

@@ -72,7 +72,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
     """Order statistics ``ceil(p * n)`` of a numeric column; null and NaN are left out.
 
     Values are counted before they are sorted, so a repeated value costs one row.
-    Only the requested quantiles reach the driver.
+    The driver sees one total per sorted partition and the requested quantiles.
     """
     value = F.col(column).cast("double")
     counts = (
@@ -81,16 +81,32 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = with_running_totals(counts, ["value"], {"reached": "n"})
-    total = placed.agg(F.max("reached")).first()[0]
-    if total is None:
+    parts = _sorted_parts(counts, ["value"])
+    sizes = parts.groupBy(_PART).agg(F.sum("n").alias("n")).orderBy(_PART).collect()
+    total = sum(row["n"] for row in sizes)
+    if total == 0:
         return []
     # p * n can sit a rounding error above a whole number; that must not skip a row.
     ranks = [max(1, math.ceil(p * total - 1e-9)) for p in probabilities]
-    found = placed.agg(
-        *[F.min(F.when(F.col("reached") >= rank, F.col("value"))) for rank in ranks]
-    ).first()
-    return list(found)
+    # Only the few sorted partitions that hold a wanted rank are looked into.
+    wanted, reached = [], 0
+    for row in sizes:
+        inside = [(i, rank - reached) for i, rank in enumerate(ranks) if 0 < rank - reached <= row["n"]]
+        wanted += [(row[_PART], i, local) for i, local in inside]
+        reached += row["n"]
+    running = Window.partitionBy(_PART).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, 0)
+    near = (
+        parts.where(F.col(_PART).isin([part for part, _, _ in wanted]))
+        .withColumn("reached", F.sum("n").over(running))
+        .agg(
+            *[
+                F.min(F.when((F.col(_PART) == part) & (F.col("reached") >= local), F.col("value"))).alias(f"q{i}")
+                for part, i, local in wanted
+            ]
+        )
+        .first()
+    )
+    return [near[f"q{i}"] for i in range(len(ranks))]
 
 
 def frequency_ranks(df: DataFrame, column: str, out: str = "rank") -> DataFrame:

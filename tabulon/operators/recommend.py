@@ -17,6 +17,8 @@ from tabulon.session import held, shared_folder
 
 _INT_MAX = 2**31 - 1
 _RATINGS_PER_BLOCK = 5_000_000
+# Blocks exchange messages in pairs, so their number must not grow with the data for ever.
+_MAX_BLOCKS = 4_000
 # New users are scored in batches of this size: their factors travel inside the plan.
 USERS_PER_PASS = 500
 
@@ -38,7 +40,7 @@ class Recommender:
     def predict(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction``; pairs with an unknown user or item are dropped."""
         coded = _coded(pairs, self.users, "user_id", "_user")
-        coded = _coded(coded, self.items, "item_id", "_item")
+        coded = _coded(coded, self.items, "item_id", "_item").dropna(subset=["_user", "_item"])
         scored = self.model.transform(coded)
         return scored.select(*pairs.columns, F.col("prediction").cast("double").alias("prediction"))
 
@@ -78,7 +80,7 @@ def fit_als(
         users = None if _fits_int(low_u, high_u) else dense_ids(rows, "user_id", "_code")
         items = None if _fits_int(low_i, high_i) else dense_ids(rows, "item_id", "_code")
         coded = _coded(_coded(rows, users, "user_id", "_user"), items, "item_id", "_item")
-        count = blocks or max(10, math.ceil(n / _RATINGS_PER_BLOCK))
+        count = blocks or min(_MAX_BLOCKS, max(10, math.ceil(n / _RATINGS_PER_BLOCK)))
         als = ALS(
             userCol="_user",
             itemCol="_item",

@@ -35,7 +35,7 @@ def fit_linear(
         maxIter=max_iter,
         solver=solver,
     )
-    with held(df.select(features, label)) as (rows,):
+    with held(df.select(features, label), wide=True) as (rows,):
         return regression.fit(rows)
 
 
@@ -80,7 +80,7 @@ def fit_logistic(
         threshold=threshold,
         tol=tol,
     )
-    with held(df.select(features, label)) as (rows,):
+    with held(df.select(features, label), wide=True) as (rows,):
         return regression.fit(rows)
 
 
@@ -178,7 +178,7 @@ def fit_perceptron(
         blockSize=block_size,
         seed=seed,
     )
-    with held(df.select(features, label)) as (rows,):
+    with held(df.select(features, label), wide=True) as (rows,):
         return classifier.fit(rows)
 
 
@@ -207,28 +207,28 @@ def tree_classifier(kind: str, features: str, label: str, seed: int = 1, **param
 
 def fit_indexed_regressor(
     data: DataFrame,
-    train: DataFrame,
     kind: str,
+    train_when: str | None = None,
     features: str = "features",
     label: str = "label",
     max_categories: int = 4,
     seed: int = 1,
     **params,
 ) -> PipelineModel:
-    """Vector index over all of ``data``, then a tree model fitted on ``train``.
+    """Vector index over all of ``data``, then a tree model fitted on the training rows.
 
-    ``train`` is ``data`` or derived from it, so holding ``data`` serves both fits.
+    ``train_when`` is the condition of the training rows, all rows by default.
     """
-    with held(data):
-        indexer = fit_vector_index(data, features, "indexed_features", max_categories)
+    with held(data, wide=True) as (rows,):
+        indexer = fit_vector_index(rows, features, "indexed_features", max_categories)
         model = tree_regressor(kind, "indexed_features", label, seed, **params)
-        return Pipeline(stages=[indexer, model]).fit(train)
+        return Pipeline(stages=[indexer, model]).fit(_training(rows, train_when))
 
 
 def fit_indexed_classifier(
     data: DataFrame,
-    train: DataFrame,
     kind: str,
+    train_when: str | None = None,
     features: str = "features",
     label: str = "label",
     max_categories: int = 4,
@@ -236,14 +236,19 @@ def fit_indexed_classifier(
     **params,
 ) -> PipelineModel:
     """Label and vector indexes over all of ``data``, a tree model, and labels mapped back."""
-    with held(data):
-        labels = fit_string_index(data, [label], ["indexed_label"])
-        indexer = fit_vector_index(data, features, "indexed_features", max_categories)
+    with held(data, wide=True) as (rows,):
+        labels = fit_string_index(rows, [label], ["indexed_label"])
+        indexer = fit_vector_index(rows, features, "indexed_features", max_categories)
         model = tree_classifier(kind, "indexed_features", "indexed_label", seed, **params)
         back = IndexToString(
             inputCol="prediction", outputCol="predicted_label", labels=labels.labelsArray[0]
         )
-        return Pipeline(stages=[labels, indexer, model, back]).fit(train)
+        stages = [labels, indexer, model, back]
+        return Pipeline(stages=stages).fit(_training(rows, train_when))
+
+
+def _training(rows: DataFrame, condition: str | None) -> DataFrame:
+    return rows if condition is None else rows.where(condition)
 
 
 def model_stage(model: PipelineModel) -> Model:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.features import term_table
-from tabulon.session import held
+from tabulon.session import held, scratch_path
 
 # Applying rules inside the library ships every rule to every task.
 MAX_RULES_ON_DRIVER = 100_000
@@ -17,7 +17,7 @@ MAX_RULES_ON_DRIVER = 100_000
 def fit_kmeans(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 1, max_iter: int = 20, tol: float = 1e-4
 ) -> mcl.KMeansModel:
-    with held(df.select(features)) as (rows,):
+    with held(df.select(features), wide=True) as (rows,):
         return mcl.KMeans(featuresCol=features, k=k, seed=seed, maxIter=max_iter, tol=tol).fit(rows)
 
 
@@ -33,7 +33,7 @@ def centre_table(spark: SparkSession, model: mcl.KMeansModel) -> DataFrame:
 def fit_mixture(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 0, max_iter: int = 100
 ) -> mcl.GaussianMixtureModel:
-    with held(df.select(features)) as (rows,):
+    with held(df.select(features), wide=True) as (rows,):
         return mcl.GaussianMixture(featuresCol=features, k=k, seed=seed, maxIter=max_iter).fit(rows)
 
 
@@ -60,7 +60,7 @@ def fit_topics(
     optimizer: str = "online",
 ) -> mcl.LDAModel:
     lda = mcl.LDA(featuresCol=features, k=k, maxIter=max_iter, seed=seed, optimizer=optimizer)
-    with held(df.select(features)) as (rows,):
+    with held(df.select(features), wide=True) as (rows,):
         return lda.fit(rows)
 
 
@@ -100,11 +100,12 @@ def topic_table(model: mcl.LDAModel, vocabulary: list[str], n_terms: int = 3) ->
 def baskets(rows: DataFrame, key: str, item: str, out: str = "items") -> DataFrame:
     """One array of distinct items per key.
 
-    Repeats are removed before the arrays are built, so a key with many rows
-    gathers no more than its distinct items.
+    Repeats are dropped by the partial aggregates of each task, so a key with many
+    rows sends no more than its distinct items.
     """
-    distinct = rows.select(key, item).where(F.col(item).isNotNull()).distinct()
-    return distinct.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(out))
+    return rows.where(F.col(item).isNotNull()).groupBy(key).agg(
+        F.sort_array(F.collect_set(item)).alias(out)
+    )
 
 
 def fit_itemsets(
@@ -114,12 +115,18 @@ def fit_itemsets(
     min_confidence: float = 0.6,
     partitions: int | None = None,
 ) -> FPGrowthModel:
-    """Frequent itemsets and rules with a single consequent."""
+    """Frequent itemsets and rules with a single consequent.
+
+    A fitted model mines anew whenever its itemsets are read, so it is saved once
+    and the loaded copy, which reads them from a table, is returned.
+    """
     growth = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
     if partitions is not None:
         growth = growth.setNumPartitions(partitions)
-    with held(df.select(items)) as (rows,):
-        return growth.fit(rows)
+    path = scratch_path(df.sparkSession, "itemsets")
+    with held(df.select(items), wide=True) as (rows,):
+        growth.fit(rows).write().save(path)
+    return FPGrowthModel.load(path)
 
 
 def itemset_table(model: FPGrowthModel) -> DataFrame:

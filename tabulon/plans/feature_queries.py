@@ -326,8 +326,8 @@ def count_vectors_top3(spark: SparkSession, folder: str) -> DataFrame:
 def tf_idf(spark: SparkSession, folder: str) -> DataFrame:
     """Weights of all terms of all documents."""
     docs = inputs.documents(spark, folder)
-    counts = features.count_terms(features.tokenize(docs, "text"), "doc_id", "words")
-    weighted = features.weigh_terms(counts, "doc_id", documents=docs.count())
+    words = features.tokenize(docs, "text")
+    weighted = features.weigh_terms(words, "doc_id", "words", documents=docs.count())
     return weighted.withColumn("value", rounded("value", 6))
 
 

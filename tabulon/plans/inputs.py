@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators import features, unsupervised
+from tabulon.session import spread
 from tabulon.sources import read_table
 
 # The new user's ten ratings as (item, rating).
@@ -72,7 +73,8 @@ def baskets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "documents")
+    """All documents; text is costly to take apart, so it is spread over the cores."""
+    return spread(read_table(spark, folder, "documents"))
 
 
 def topics(spark: SparkSession, folder: str) -> DataFrame:

@@ -299,7 +299,7 @@ def _group_model(spark: SparkSession, folder: str, kind: str, **params):
     orders = inputs.priced_orders(spark, folder)
     indexed = features.index_strings(orders, "priority", "priority_index")
     rows = features.vectorised(indexed, ["priority_index"])
-    return rows, supervised.fit_indexed_regressor(rows, rows, kind, max_categories=5, **params)
+    return rows, supervised.fit_indexed_regressor(rows, kind, max_categories=5, **params)
 
 
 def group_tree(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
@@ -348,7 +348,7 @@ def _group_majority(spark: SparkSession, folder: str, kind: str, label: str, **p
     indexed = features.index_strings(named, "priority", "priority_index")
     rows = features.vectorised(indexed, ["priority_index"])
     model = supervised.fit_indexed_classifier(
-        rows, rows, kind, label=label, max_categories=5, maxDepth=5, **params
+        rows, kind, label=label, max_categories=5, maxDepth=5, **params
     )
     return model.transform(rows).groupBy("priority", F.col("predicted_label").alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
@@ -382,31 +382,31 @@ def gbt_majority(spark: SparkSession, folder: str) -> DataFrame:
     return _group_majority(spark, folder, "boosted", "dear", maxIter=1)
 
 
-def _parts(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def _with_parts(rows: DataFrame, key: str) -> DataFrame:
     """70 and 30 percent of the rows, by key."""
-    split = tables.with_split(rows, [key], {"train": 7, "test": 3}, seed=1)
-    return split.where("part = 'train'"), split.where("part = 'test'")
+    return tables.with_split(rows, [key], {"train": 7, "test": 3}, seed=1)
 
 
 def _classes(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.vectors(spark, folder).withColumn("label", F.col("label").cast("string"))
 
 
-def _classified(spark: SparkSession, folder: str, kind: str, rows: DataFrame, **params) -> DataFrame:
+def _classified(rows: DataFrame, kind: str, **params) -> DataFrame:
     """Test predictions of an indexed tree classifier, counted against the labels."""
-    train, test = _parts(rows, "vec_id")
-    model = supervised.fit_indexed_classifier(rows, train, kind, **params)
-    return model.transform(test).groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
+    parts = _with_parts(rows, "vec_id")
+    model = supervised.fit_indexed_classifier(parts, kind, "part = 'train'", **params)
+    predicted = model.transform(parts.where("part = 'test'"))
+    return predicted.groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("tree_classify")
 def tree_classify(spark: SparkSession, folder: str) -> DataFrame:
-    return _classified(spark, folder, "tree", _classes(spark, folder))
+    return _classified(_classes(spark, folder), "tree")
 
 
 @query("forest_classify")
 def forest_classify(spark: SparkSession, folder: str) -> DataFrame:
-    return _classified(spark, folder, "forest", _classes(spark, folder), numTrees=10)
+    return _classified(_classes(spark, folder), "forest", numTrees=10)
 
 
 @query("gbt_classify")
@@ -415,7 +415,7 @@ def gbt_classify(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.vectors(spark, folder).withColumn(
         "label", F.when(F.col("label") < 5, "low").otherwise("high")
     )
-    return _classified(spark, folder, "boosted", rows, maxIter=10)
+    return _classified(rows, "boosted", maxIter=10)
 
 
 def _line_features(spark: SparkSession, folder: str) -> jobs.TabularData:
@@ -424,10 +424,9 @@ def _line_features(spark: SparkSession, folder: str) -> jobs.TabularData:
 
 def _regressed(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
     """Test metrics of an indexed tree regressor on the insurance table."""
-    rows = _line_features(spark, folder).rows
-    train, test = _parts(rows, "id")
-    model = supervised.fit_indexed_regressor(rows, train, kind, max_categories=32, **params)
-    found = evaluate.regression_metrics(model.transform(test))
+    parts = _with_parts(_line_features(spark, folder).rows, "id")
+    model = supervised.fit_indexed_regressor(parts, kind, "part = 'train'", max_categories=32, **params)
+    found = evaluate.regression_metrics(model.transform(parts.where("part = 'test'")))
     return _rounded_all(found, 4, "mse", "rmse", "mae", "r2", "explained_variance")
 
 
@@ -444,7 +443,7 @@ def gbt_regress(spark: SparkSession, folder: str) -> DataFrame:
 @query("forest_summary")
 def forest_summary(spark: SparkSession, folder: str) -> DataFrame:
     rows = _line_features(spark, folder).rows
-    model = supervised.fit_indexed_regressor(rows, rows, "forest", max_categories=32, numTrees=5)
+    model = supervised.fit_indexed_regressor(rows, "forest", max_categories=32, numTrees=5)
     return supervised.tree_summary(spark, supervised.model_stage(model))
 
 
@@ -462,7 +461,7 @@ def tree_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query("feature_importances")
 def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
     data = _line_features(spark, folder)
-    model = supervised.fit_indexed_regressor(data.rows, data.rows, "forest", max_categories=32, numTrees=5)
+    model = supervised.fit_indexed_regressor(data.rows, "forest", max_categories=32, numTrees=5)
     found = supervised.importance_table(spark, supervised.model_stage(model), data.names)
     return _rounded_all(found, 6, "importance")
 

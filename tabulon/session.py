@@ -64,12 +64,33 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for work that costs far more than reading.
+
+    A small table in few files arrives in fewer partitions than there are cores,
+    and everything computed from it row by row would stay there. It is
+    repartitioned only then: a table with a partition per core is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 @contextmanager
-def held(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
-    """Keep frames that an iterative fit reads many times, and let go afterwards."""
-    kept = tuple(frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames)
+def held(*frames: DataFrame, wide: bool = False) -> Iterator[tuple[DataFrame, ...]]:
+    """Keep frames that an iterative fit reads many times, and let go afterwards.
+
+    ``wide`` also gives each frame at least one partition per core.
+    """
+    first = [frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames]
+    kept = list(first)
     try:
-        yield kept
+        if wide:
+            # The kept copy knows its partitions without computing the frame twice.
+            kept = [spread(frame) for frame in first]
+            for old, new in zip(first, kept):
+                if new is not old:
+                    new.persist(StorageLevel.MEMORY_AND_DISK)
+        yield tuple(kept)
     finally:
-        for frame in kept:
+        for frame in {id(f): f for f in (*first, *kept)}.values():
             frame.unpersist()
