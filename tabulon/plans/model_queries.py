@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import evaluate, features, supervised, tables, unsupervised
+from tabulon.operators import evaluate, features, supervised, tables, tuning, unsupervised
 from tabulon.plans import inputs, jobs
 from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
@@ -292,6 +292,23 @@ def mlp(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.accuracy(model.transform(split.where("part = 'test'")))
 
 
+@query(
+    "mlp_separable",
+    "SELECT o_orderstatus AS status, o_orderstatus AS predicted, count(*) AS n FROM orders GROUP BY 1, 2",
+)
+def mlp_separable(spark: SparkSession, folder: str) -> DataFrame:
+    """The perceptron 4-5-4-3 on classes that three indicators and a constant tell apart."""
+    orders = read_table(spark, folder, "orders").select("o_orderstatus")
+    index = features.fit_string_index(orders, ["o_orderstatus"], ["label"])
+    hot = index.transform(orders).withColumns(
+        {**{f"is_{i}": (F.col("label") == i).cast("double") for i in range(3)}, "one": F.lit(1.0)}
+    )
+    rows = features.vectorised(hot, ["is_0", "is_1", "is_2", "one"])
+    model = supervised.fit_perceptron(rows)
+    named = features.indices_to_labels(model.transform(rows), "prediction", "predicted", index.labelsArray[0])
+    return named.groupBy(F.col("o_orderstatus").alias("status"), "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- trees -------------------------------------------------------------------
 
 
@@ -775,11 +792,9 @@ def text_classifier_auc(spark: SparkSession, folder: str) -> DataFrame:
 @query("text_cv")
 def text_cv(spark: SparkSession, folder: str) -> DataFrame:
     """Area under ROC per grid point, three folds."""
-    from tabulon.operators.tuning import metric_table
-
     rows = _labelled_tokens(spark, folder).where("part = 'train'")
     model = jobs.tune_text(rows, num_features=(100, 1_000), min_doc_freq=(0, 10))
-    return _rounded_all(metric_table(spark, model, larger_is_better=True), 6, "metric")
+    return _rounded_all(tuning.metric_table(spark, model, larger_is_better=True), 6, "metric")
 
 
 def _regression_run(spark: SparkSession, folder: str, kind: str, grid: dict) -> jobs.RegressionRun:
@@ -805,3 +820,29 @@ def loss_regression_gbt(spark: SparkSession, folder: str) -> DataFrame:
     """Training and validation metrics of boosted trees over a small grid."""
     run = _regression_run(spark, folder, "boosted", {"maxIter": (5,), "maxDepth": (3, 4)})
     return _rounded_all(run.metrics(), 4, "mse", "rmse", "mae", "r2", "explained_variance")
+
+
+@query(
+    "param_grid_cv",
+    """WITH d AS (SELECT o_orderkey % 3 AS fold, o_orderpriority AS g, o_totalprice AS y FROM orders),
+         folds AS (SELECT DISTINCT fold FROM d),
+         flat AS (SELECT f.fold, avg(y) AS m FROM folds f JOIN d ON d.fold <> f.fold GROUP BY 1),
+         deep AS (SELECT f.fold, g, avg(y) AS m FROM folds f JOIN d ON d.fold <> f.fold GROUP BY 1, 2),
+         errors AS (SELECT 0.0::DOUBLE AS depth, d.fold, sqrt(avg((y - m) * (y - m))) AS rmse FROM d JOIN flat USING (fold) GROUP BY 1, 2
+                    UNION ALL SELECT 5.0::DOUBLE, d.fold, sqrt(avg((y - m) * (y - m))) FROM d JOIN deep USING (fold, g) GROUP BY 1, 2),
+         points AS (SELECT depth, avg(rmse) AS metric FROM errors GROUP BY 1)
+       SELECT bins AS "maxBins", depth AS "maxDepth", round(metric, 2) + 0.0 AS metric
+       FROM points, (VALUES (8.0::DOUBLE), (32.0::DOUBLE)) v(bins)""",
+)
+def param_grid_cv(spark: SparkSession, folder: str) -> DataFrame:
+    """Three-fold error of every point of a depth by bins grid, folds given by the order key."""
+    orders = inputs.priced_orders(spark, folder)
+    indexed = features.index_strings(orders, "priority", "priority_index")
+    rows = features.vectorised(indexed, ["priority_index"]).select(
+        "features", "label", (F.col("id") % 3).cast("int").alias("fold")
+    )
+    tree = supervised.tree_regressor("tree", "features", "label")
+    grid = tuning.param_grid({tree.maxDepth: (0, 5), tree.maxBins: (8, 32)})
+    model = tuning.cross_validate(tree, grid, evaluate.rmse_evaluator(), rows, folds=3)
+    found = tuning.metric_table(spark, model, larger_is_better=False)
+    return found.select("maxBins", "maxDepth", rounded("metric", 2).alias("metric"))

@@ -11,6 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Below this many rows per core an iteration is over sooner than its tasks are handed out.
+MIN_ROWS_PER_CORE = 2_000
 
 
 def local_session(cpus: int | str = "*", app: str = "tabulon", **settings: str) -> SparkSession:
@@ -79,14 +81,16 @@ def spread(df: DataFrame) -> DataFrame:
 def held(*frames: DataFrame, wide: bool = False) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames that an iterative fit reads many times, and let go afterwards.
 
-    ``wide`` also gives each frame at least one partition per core.
+    ``wide`` also gives a frame with enough rows at least one partition per core.
     """
     first = [frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames]
     kept = list(first)
     try:
         if wide:
-            # The kept copy knows its partitions without computing the frame twice.
-            kept = [spread(frame) for frame in first]
+            # Counting fills the kept copy, which then knows its partitions as well.
+            cores = frames[0].sparkSession.sparkContext.defaultParallelism
+            enough = [frame.count() >= MIN_ROWS_PER_CORE * cores for frame in first]
+            kept = [spread(frame) if many else frame for frame, many in zip(first, enough)]
             for old, new in zip(first, kept):
                 if new is not old:
                     new.persist(StorageLevel.MEMORY_AND_DISK)

@@ -18,6 +18,7 @@ from tabulon.operators import (
     tuning,
     unsupervised,
 )
+from tabulon import session
 from tabulon.plans import inputs, jobs
 from tabulon.session import held, spread
 
@@ -167,10 +168,15 @@ def test_spread_only_widens(spark):
     assert spread(wide) is wide
 
 
-def test_held_frames_are_let_go(spark):
+def test_held_frames_are_let_go(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
     df = spark.range(50).coalesce(1)
     with held(df, wide=True) as (rows,):
-        assert rows.count() == 50 and rows.is_cached and df.is_cached
+        assert rows is df and df.is_cached
+    assert not df.is_cached
+    monkeypatch.setattr(session, "MIN_ROWS_PER_CORE", 5)
+    with held(df, wide=True) as (rows,):
+        assert rows.rdd.getNumPartitions() == cores and rows.count() == 50 and rows.is_cached
     assert not df.is_cached and not rows.is_cached
 
 
@@ -358,6 +364,18 @@ def test_both_recommendation_routes_agree(spark, folder):
     assert sorted(one) == sorted(two)
 
 
+def test_scores_are_the_predictions_of_all_candidate_pairs(spark, folder):
+    items, fresh = inputs.items(spark, folder), inputs.new_ratings(spark)
+    fitted = jobs.recommend_model(inputs.ratings(spark, folder), fresh, iterations=3)
+    pairs = tables.candidate_pairs(items, fresh, inputs.NEW_USER)
+    predicted = {r["item_id"]: r["prediction"] for r in fitted.predict(pairs).collect()}
+    scored = recommend.score_users(fitted, items.select("item_id"), [inputs.NEW_USER])
+    scores = {r["item_id"]: r["score"] for r in scored.collect()}
+    rated = {item for item, _ in inputs.NEW_RATINGS}
+    assert set(predicted) == set(scores) - rated
+    assert all(scores[i] == pytest.approx(predicted[i], abs=1e-4) for i in predicted)
+
+
 def test_search_results_table(spark):
     rows = spark.createDataFrame([(i, float(i), float(2 * i)) for i in range(60)], "id long, x double, label double")
     data = tables.with_fold(features.vectorised(rows, ["x"]), ["id"], 3)
