@@ -20,6 +20,7 @@ MAX_LABELS_ON_DRIVER = 100_000
 MAX_PCA_COLUMNS = 10_000
 # Word vectors are trained on copies of the whole vocabulary held by each task.
 MAX_EMBEDDING_VALUES = 200_000_000
+WORDS_PER_PART = 1_000_000
 
 # --- numbers -----------------------------------------------------------------
 
@@ -314,19 +315,16 @@ def fit_word_vectors(
     size: int = 3,
     min_count: int = 0,
     seed: int = 1,
-    partitions: int = 1,
+    partitions: int | None = None,
 ) -> mf.Word2VecModel:
     """Skip-gram word vectors; a document vector is the mean over its words.
 
     The library keeps the whole vocabulary in each task, so its size is checked.
+    The text is trained in one part per million words unless told otherwise: one
+    part for the whole text, the library's default, would be one task.
     """
-    terms = (
-        df.select(F.explode(column).alias("term"))
-        .groupBy("term")
-        .count()
-        .where(F.col("count") >= min_count)
-        .count()
-    )
+    counts = df.select(F.explode(column).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    terms, tokens = counts.agg(F.count_if(F.col("n") >= min_count), F.sum("n")).first()
     if terms * size > MAX_EMBEDDING_VALUES:
         raise ValueError(f"{terms} words of size {size} do not fit in a task: raise min_count")
     model = mf.Word2Vec(
@@ -335,7 +333,7 @@ def fit_word_vectors(
         inputCol=column,
         outputCol=out,
         seed=seed,
-        numPartitions=partitions,
+        numPartitions=partitions or max(1, math.ceil((tokens or 0) / WORDS_PER_PART)),
     )
     return model.fit(df)
 

@@ -35,7 +35,7 @@ def fit_linear(
         maxIter=max_iter,
         solver=solver,
     )
-    with held(df.select(features, label), wide=True) as (rows,):
+    with held(df.select(features, label), balanced=True) as (rows,):
         return regression.fit(rows)
 
 
@@ -80,7 +80,7 @@ def fit_logistic(
         threshold=threshold,
         tol=tol,
     )
-    with held(df.select(features, label), wide=True) as (rows,):
+    with held(df.select(features, label), balanced=True) as (rows,):
         return regression.fit(rows)
 
 
@@ -178,7 +178,7 @@ def fit_perceptron(
         blockSize=block_size,
         seed=seed,
     )
-    with held(df.select(features, label), wide=True) as (rows,):
+    with held(df.select(features, label), balanced=True) as (rows,):
         return classifier.fit(rows)
 
 
@@ -219,7 +219,7 @@ def fit_indexed_regressor(
 
     ``train_when`` is the condition of the training rows, all rows by default.
     """
-    with held(data, wide=True) as (rows,):
+    with held(data, balanced=True) as (rows,):
         indexer = fit_vector_index(rows, features, "indexed_features", max_categories)
         model = tree_regressor(kind, "indexed_features", label, seed, **params)
         return Pipeline(stages=[indexer, model]).fit(_training(rows, train_when))
@@ -236,7 +236,7 @@ def fit_indexed_classifier(
     **params,
 ) -> PipelineModel:
     """Label and vector indexes over all of ``data``, a tree model, and labels mapped back."""
-    with held(data, wide=True) as (rows,):
+    with held(data, balanced=True) as (rows,):
         labels = fit_string_index(rows, [label], ["indexed_label"])
         indexer = fit_vector_index(rows, features, "indexed_features", max_categories)
         model = tree_classifier(kind, "indexed_features", "indexed_label", seed, **params)

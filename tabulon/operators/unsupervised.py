@@ -17,7 +17,7 @@ MAX_RULES_ON_DRIVER = 100_000
 def fit_kmeans(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 1, max_iter: int = 20, tol: float = 1e-4
 ) -> mcl.KMeansModel:
-    with held(df.select(features), wide=True) as (rows,):
+    with held(df.select(features), balanced=True) as (rows,):
         return mcl.KMeans(featuresCol=features, k=k, seed=seed, maxIter=max_iter, tol=tol).fit(rows)
 
 
@@ -33,7 +33,7 @@ def centre_table(spark: SparkSession, model: mcl.KMeansModel) -> DataFrame:
 def fit_mixture(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 0, max_iter: int = 100
 ) -> mcl.GaussianMixtureModel:
-    with held(df.select(features), wide=True) as (rows,):
+    with held(df.select(features), balanced=True) as (rows,):
         return mcl.GaussianMixture(featuresCol=features, k=k, seed=seed, maxIter=max_iter).fit(rows)
 
 
@@ -60,7 +60,7 @@ def fit_topics(
     optimizer: str = "online",
 ) -> mcl.LDAModel:
     lda = mcl.LDA(featuresCol=features, k=k, maxIter=max_iter, seed=seed, optimizer=optimizer)
-    with held(df.select(features), wide=True) as (rows,):
+    with held(df.select(features), balanced=True) as (rows,):
         return lda.fit(rows)
 
 
@@ -124,7 +124,7 @@ def fit_itemsets(
     if partitions is not None:
         growth = growth.setNumPartitions(partitions)
     path = scratch_path(df.sparkSession, "itemsets")
-    with held(df.select(items), wide=True) as (rows,):
+    with held(df.select(items), balanced=True) as (rows,):
         growth.fit(rows).write().save(path)
     return FPGrowthModel.load(path)
 

@@ -325,9 +325,9 @@ def count_vectors_top3(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tf_idf(spark: SparkSession, folder: str) -> DataFrame:
     """Weights of all terms of all documents."""
-    docs = inputs.documents(spark, folder)
-    words = features.tokenize(docs, "text")
-    weighted = features.weigh_terms(words, "doc_id", "words", documents=docs.count())
+    documents = read_table(spark, folder, "documents").count()
+    words = features.tokenize(inputs.documents(spark, folder), "text")
+    weighted = features.weigh_terms(words, "doc_id", "words", documents)
     return weighted.withColumn("value", rounded("value", 6))
 
 

@@ -136,7 +136,7 @@ def text_pipeline(num_features: int = 1000, min_doc_freq: int = 0, reg: float =
 
 def classify_text(train: DataFrame, **settings) -> PipelineModel:
     """Fit the text pipeline on ``filtered`` tokens and ``label``."""
-    with held(train.select("filtered", "label"), wide=True) as (rows,):
+    with held(train.select("filtered", "label"), balanced=True) as (rows,):
         return text_pipeline(**settings).fit(rows)
 
 

@@ -188,8 +188,8 @@ def sql_topic_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.documents(spark, folder).select("doc_id", F.col("source").alias("topic"), "text")
     return run_sql(
         rows,
-        "newsgroups",
-        "SELECT topic, count(*) AS cnt FROM newsgroups GROUP BY topic ORDER BY cnt DESC, topic LIMIT 8",
+        "topic_documents",
+        "SELECT topic, count(*) AS cnt FROM topic_documents GROUP BY topic ORDER BY cnt DESC, topic LIMIT 8",
     )
 
 

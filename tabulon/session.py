@@ -11,8 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-# Below this many rows per core an iteration is over sooner than its tasks are handed out.
-MIN_ROWS_PER_CORE = 2_000
+# With fewer rows than this, a task of an iterative fit costs more to hand out than to run.
+ROWS_PER_TASK = 2_000
 
 
 def local_session(cpus: int | str = "*", app: str = "tabulon", **settings: str) -> SparkSession:
@@ -24,6 +24,7 @@ def local_session(cpus: int | str = "*", app: str = "tabulon", **settings: str)
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
@@ -77,24 +78,30 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def _balanced(frame: DataFrame) -> DataFrame:
+    """A kept frame in as many partitions as pay off: all cores for many rows, few for few."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    # Counting fills the kept copy, which then knows its partitions as well.
+    useful = max(1, frame.count() // ROWS_PER_TASK)
+    parts = frame.rdd.getNumPartitions()
+    if parts > useful:
+        return frame.coalesce(useful)
+    if 2 * parts < min(cores, useful):
+        return frame.repartition(min(cores, useful)).persist(StorageLevel.MEMORY_AND_DISK)
+    return frame
+
+
 @contextmanager
-def held(*frames: DataFrame, wide: bool = False) -> Iterator[tuple[DataFrame, ...]]:
+def held(*frames: DataFrame, balanced: bool = False) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames that an iterative fit reads many times, and let go afterwards.
 
-    ``wide`` also gives a frame with enough rows at least one partition per core.
+    ``balanced`` also suits the number of partitions to the rows and the cores.
     """
-    first = [frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames]
-    kept = list(first)
+    kept = [frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames]
     try:
-        if wide:
-            # Counting fills the kept copy, which then knows its partitions as well.
-            cores = frames[0].sparkSession.sparkContext.defaultParallelism
-            enough = [frame.count() >= MIN_ROWS_PER_CORE * cores for frame in first]
-            kept = [spread(frame) if many else frame for frame, many in zip(first, enough)]
-            for old, new in zip(first, kept):
-                if new is not old:
-                    new.persist(StorageLevel.MEMORY_AND_DISK)
-        yield tuple(kept)
+        if balanced:
+            kept += [_balanced(frame) for frame in frames]
+        yield tuple(kept[-len(frames) :])
     finally:
-        for frame in {id(f): f for f in (*first, *kept)}.values():
+        for frame in kept:
             frame.unpersist()

@@ -168,14 +168,15 @@ def test_spread_only_widens(spark):
     assert spread(wide) is wide
 
 
-def test_held_frames_are_let_go(spark, monkeypatch):
+def test_held_frames_suit_their_rows_and_are_let_go(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
-    df = spark.range(50).coalesce(1)
-    with held(df, wide=True) as (rows,):
-        assert rows is df and df.is_cached
-    assert not df.is_cached
-    monkeypatch.setattr(session, "MIN_ROWS_PER_CORE", 5)
-    with held(df, wide=True) as (rows,):
+    df, scattered = spark.range(50).coalesce(1), spark.range(60).repartition(5)
+    with held(df, scattered, balanced=True) as (few, gathered):
+        assert df.is_cached and few.count() == 50
+        assert gathered.rdd.getNumPartitions() == 1 and gathered.count() == 60
+    assert not df.is_cached and not scattered.is_cached
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 5)
+    with held(df, balanced=True) as (rows,):
         assert rows.rdd.getNumPartitions() == cores and rows.count() == 50 and rows.is_cached
     assert not df.is_cached and not rows.is_cached
 
