@@ -207,7 +207,7 @@ def logistic_roc(spark: SparkSession, folder: str) -> DataFrame:
 def logistic_score_equations(spark: SparkSession, folder: str) -> DataFrame:
     """Without a penalty, the fitted probabilities match the labels in every feature's moment."""
     rows = _binary_lines(spark, folder)
-    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=100, tol=1e-12)
+    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=100, tol=1e-10)
     scored = supervised.with_probability(model.transform(rows))
     moments = {"by_quantity": "l_quantity", "by_discount": "l_discount", "by_tax": "l_tax"}
     return scored.agg(
@@ -233,7 +233,7 @@ def _group_rates(spark: SparkSession, folder: str, family: str) -> DataFrame:
     """Without a penalty, a logistic fit on one-hot groups gives the group rates."""
     rows = _one_hot_priority(spark, folder, "dear")
     model = supervised.fit_logistic(
-        rows, reg=0.0, elastic_net=0.0, max_iter=200, tol=1e-12, family=family
+        rows, reg=0.0, elastic_net=0.0, max_iter=200, tol=1e-10, family=family
     )
     scored = supervised.with_probability(model.transform(rows))
     return scored.groupBy("priority").agg(
@@ -266,7 +266,7 @@ def multinomial_coefficients(spark: SparkSession, folder: str) -> DataFrame:
 def multiclass_logit_groups(spark: SparkSession, folder: str) -> DataFrame:
     """The same with three classes: the share of each status in each priority."""
     rows = _one_hot_priority(spark, folder, "status")
-    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=300, tol=1e-12)
+    model = supervised.fit_logistic(rows, reg=0.0, elastic_net=0.0, max_iter=300, tol=1e-10)
     classes = rows.select("status", F.col("label").cast("int").alias("class")).distinct()
     shares = model.transform(rows).select("priority", F.posexplode(vector_to_array("probability")).alias("class", "p"))
     means = shares.groupBy("priority", "class").agg(rounded(F.avg("p"), 4).alias("p"))
