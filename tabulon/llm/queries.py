@@ -6,8 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.llm.common import table
 from tabulon.llm.packing import pack_pow2
+from tabulon.llm.token_files import read_tokens, write_tokens
 from tabulon.llm.tokens import tokenizer_path
 from tabulon.plans.registry import query
+from tabulon.session import scratch_path
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, folder, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return read_tokens(spark, path)
 
 
 @query("op10_packing")
