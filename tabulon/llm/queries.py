@@ -6,12 +6,89 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.llm.common import table
 from tabulon.llm.packing import pack_pow2
+from tabulon.llm.quality import quality
 from tabulon.llm.token_files import read_tokens, write_tokens
 from tabulon.llm.tokens import tokenizer_path
-from tabulon.plans.registry import query
+from tabulon.plans.registry import query, rounded
 from tabulon.session import scratch_path
 
 
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), c AS (
+  SELECT doc_id, lang, words, lines,
+         [length(regexp_replace(text, '[^a-z]+', '', 'g')), length(regexp_replace(text, '[^\x20\x09-\x0D]+', '', 'g')),
+          length(regexp_replace(text, '[^A-Z]+', '', 'g')), length(regexp_replace(text, '[^0-9]+', '', 'g')),
+          length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')),
+          length(regexp_replace(regexp_replace(text, '[#*$%&|<>]+', '', 'g'), '[^!-/:-@\[-`{-~]+', '', 'g')),
+          length(regexp_replace(text, '[\x09-\x0D\x20-\x7E]+', '', 'g'))] AS classes
+  FROM d
+), w AS (
+  SELECT doc_id, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3, i
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)
+), twice AS (
+  SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY doc_id, w1, w2, w3) > 1
+), r AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY doc_id
+), v AS (
+  SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank
+  FROM (SELECT lang, unnest(words) AS word FROM d) GROUP BY lang, word
+), refwords AS (
+  SELECT lang, rank, word, n / sum(n) OVER (PARTITION BY lang) AS q FROM v
+), tops AS (
+  SELECT lang, rank, word, q FROM refwords WHERE rank <= 16
+  UNION ALL SELECT lang, 17, NULL, 1 - sum(q) FROM refwords WHERE rank <= 16 GROUP BY lang
+), ref_classes AS (
+  SELECT lang, k, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q
+  FROM (SELECT lang, unnest(classes) AS n, unnest(range(1, 8)) AS k FROM c) GROUP BY lang, k
+), own_classes AS (
+  SELECT doc_id, lang, k, n / nullif(sum(n) OVER (PARTITION BY doc_id), 0) AS p
+  FROM (SELECT doc_id, lang, unnest(classes) AS n, unnest(range(1, 8)) AS k FROM c)
+), cd AS (
+  SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS dist
+  FROM (SELECT doc_id, coalesce(p, 0) AS p, q FROM own_classes JOIN ref_classes USING (lang, k)) GROUP BY doc_id
+), own_words AS (
+  SELECT doc_id, lang, word, count(*) AS n FROM (SELECT doc_id, lang, unnest(words) AS word FROM d) GROUP BY ALL
+), hit AS (
+  SELECT o.doc_id, t.rank, o.n FROM own_words o JOIN tops t ON o.lang = t.lang AND o.word = t.word
+), own AS (
+  SELECT doc_id, rank, n FROM hit
+  UNION ALL
+  SELECT d.doc_id, 17, len(d.words) - coalesce(h.n, 0)
+  FROM d LEFT JOIN (SELECT doc_id, sum(n) AS n FROM hit GROUP BY doc_id) h USING (doc_id)
+), wd AS (
+  SELECT doc_id, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS dist
+  FROM (
+    SELECT d.doc_id, coalesce(own.n / nullif(len(d.words), 0), 0) AS p, t.q
+    FROM d JOIN tops t USING (lang) LEFT JOIN own ON own.doc_id = d.doc_id AND own.rank = t.rank
+  ) GROUP BY doc_id
+), all_of AS (
+  SELECT c.doc_id, len(words) AS n_words, list_sum(classes) - classes[2] AS word_chars, classes[5] AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+         cd.dist AS class_distance, wd.dist AS word_distance
+  FROM c LEFT JOIN r USING (doc_id) JOIN cd USING (doc_id) JOIN wd USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND class_distance <= 0.25 AND word_distance <= 0.4 AS kept,
+       round(class_distance, 6) + 0.0 AS class_distance, round(word_distance, 6) + 0.0 AS word_distance
+FROM all_of
+""".replace("\\\\", "\\")
+
+
+@query("op7_quality", QUALITY_SQL)
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality(table(spark, folder, "documents"))
+    return found.withColumns({c: rounded(c, 6) for c in ("class_distance", "word_distance")})
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
