@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.llm.common import table
+from tabulon.llm.lines import drop_boilerplate
+from tabulon.llm.mixing import mix_sources
 from tabulon.llm.packing import pack_pow2
 from tabulon.llm.quality import quality
 from tabulon.llm.token_files import read_tokens, write_tokens
@@ -13,6 +15,35 @@ from tabulon.plans.registry import query, rounded
 from tabulon.session import scratch_path
 
 
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS host, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS k
+  FROM documents
+), t AS (
+  SELECT *, trim(line, E' \t\n\x0B\x0C\r') AS key FROM l
+), n AS (
+  SELECT host, key, count(DISTINCT doc_id) AS n FROM t WHERE key <> '' GROUP BY host, key
+), b AS (
+  SELECT host, key FROM n
+  JOIN (SELECT coalesce(source, '') AS host, count(*) AS pages FROM documents GROUP BY 1) USING (host)
+  WHERE n >= 2 AND pages >= 10 AND n > 0.1 * pages
+), k AS (
+  SELECT doc_id, count(*) AS n_lines, count(b.key) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (b.key IS NULL), '') AS text
+  FROM t LEFT JOIN b USING (host, key) GROUP BY doc_id
+)
+SELECT d.doc_id, k.text, d.lang, d.source, d.n_chars, coalesce(n_lines, 0)::BIGINT AS n_lines,
+       coalesce(n_dropped, 0)::BIGINT AS n_dropped
+FROM documents d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op1_lines", LINES_SQL)
+def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_boilerplate(table(spark, folder, "documents"))
+
+
 QUALITY_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
@@ -80,7 +111,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND class_distance <= 0.25 AND word_distance <= 0.4 AS kept,
        round(class_distance, 6) + 0.0 AS class_distance, round(word_distance, 6) + 0.0 AS word_distance
 FROM all_of
-""".replace("\\\\", "\\")
+"""
 
 
 @query("op7_quality", QUALITY_SQL)
@@ -89,6 +120,54 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumns({c: rounded(c, 6) for c in ("class_distance", "word_distance")})
 
 
+MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source, md5('17:' || coalesce(doc_id::VARCHAR, '')) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n
+  FROM documents
+), t AS (
+  SELECT source, sum(n)::DOUBLE AS tokens FROM d GROUP BY source HAVING sum(n) > 0
+), p AS (
+  SELECT list(tokens / total) AS p FROM t, (SELECT sum(tokens) AS total FROM t)
+), goal AS (
+  SELECT p, -list_sum(list_transform(p, lambda x: x * ln(x))) AS h1, ln(len(p)) AS h0 FROM p
+), half(step, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN bad THEN mid ELSE low END, CASE WHEN bad THEN high ELSE mid END
+  FROM (
+    SELECT step, low, high, mid,
+           ln(z) - list_sum(list_transform(p, lambda x: pow(x, mid) * ln(pow(x, mid)))) / z > h1 + 0.5 * (h0 - h1)
+           OR list_max(list_transform(p, lambda x: pow(x, mid) / x)) / list_min(list_transform(p, lambda x: pow(x, mid) / x)) > 2.0 AS bad
+    FROM (
+      SELECT step, low, high, (low + high) / 2 AS mid, p, h1, h0,
+             list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))) AS z
+      FROM half, goal WHERE step < 50
+    )
+  )
+), a AS (
+  SELECT high AS a FROM half WHERE step = 50
+), w AS (
+  SELECT source, tokens, pow(tokens / (SELECT sum(tokens) FROM t), a) AS w FROM t, a
+), need AS (
+  SELECT source, tokens, greatest(w * (SELECT max(tokens / w) FROM w), tokens) AS need FROM w
+), plan AS (
+  SELECT source, floor(need / tokens)::BIGINT AS epochs, need - floor(need / tokens) * tokens AS rest FROM need
+), run AS (
+  SELECT d.*, epochs, rest, sum(n) OVER (PARTITION BY d.source ORDER BY key) AS upto FROM d JOIN plan USING (source)
+), times AS (
+  SELECT doc_id, source, key, epochs + (upto <= rest)::BIGINT AS times FROM run
+)
+SELECT doc_id, source, epoch, key[1:3] AS block, md5('17:' || epoch || ':' || source || ':' || key[1:3]) || key AS mix_key
+FROM (SELECT *, unnest(range(1, times + 1)) AS epoch FROM times)
+"""
+
+
+@query("op5_mixing", MIX_SQL)
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents")).select("doc_id", "source", "epoch", "block", "mix_key")
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
