@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabulon.llm.common import table
 from tabulon.llm.lines import drop_boilerplate
 from tabulon.llm.mixing import mix_sources
+from tabulon.llm.near import near_duplicates
 from tabulon.llm.packing import pack_pow2
 from tabulon.llm.quality import quality
 from tabulon.llm.token_files import read_tokens, write_tokens
@@ -178,3 +179,35 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_pow2(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT u, v FROM shared JOIN n x ON u = x.doc_id JOIN n y ON v = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach(doc_id, least) AS (
+  SELECT u, v FROM links
+  UNION
+  SELECT reach.doc_id, links.v FROM reach JOIN links ON links.u = reach.least
+), c AS (
+  SELECT doc_id, min(least) AS least FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, c.least) AS component_id,
+       d.doc_id = least(d.doc_id, c.least) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+@query("op3_near", NEAR_SQL)
+def op3_near(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
