@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import os
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import suppress
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from tabulon.session import scratch_path
 
 #: ASCII white space, as in ``[\x20\x09-\x0D]``: what separates words everywhere in this package.
 SPACES = " \t\n\x0b\x0c\r"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +30,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_batch(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the path of the Python workers.
+
+    Workers of a local session do not have the driver's path. On a cluster the
+    package is installed or sent along with the job, and the setting does no harm.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
+    return df.mapInArrow(work, schema)
+
+
 def words_of(text: Column | str) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; none for null."""
     parts = F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), r"[\x20\x09-\x0D]+")

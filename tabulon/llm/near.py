@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import stored, sub_batches
+from tabulon.llm.common import by_batch, stored, sub_batches
 from tabulon.llm.graph import components
 from tabulon.llm.shingles import mixed, shingle_sets
 
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_shingles", "hash1", "hash2", "keys"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, hash1 long, hash2 long, keys array<long>")
+    return docs.transform(by_batch, sketch, "doc_id long, n_shingles long, hash1 long, hash2 long, keys array<long>")
 
 
 def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -182,13 +182,13 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     sets = (
         docs.join(members.withColumn("pairs", F.array_distinct(pair)), "doc_id")
         .select("doc_id", "text", "cluster", "pairs")
-        .mapInArrow(with_sets, "doc_id long, cluster long, pairs array<string>, data binary")
+        .transform(by_batch, with_sets, "doc_id long, cluster long, pairs array<string>, data binary")
     )
     return (
         sets.select("cluster", F.explode("pairs").alias("pair"), "doc_id", "data")
         .repartition("cluster", "pair")
         .sortWithinPartitions("cluster", "pair", "doc_id")
-        .mapInArrow(link, "u long, v long")
+        .transform(by_batch, link, "u long, v long")
     )
 
 

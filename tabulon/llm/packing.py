@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import offsets_before, stored, sub_batches
+from tabulon.llm.common import by_batch, offsets_before, stored, sub_batches
 from tabulon.llm.tokens import encoder
 
 PIECES = (
@@ -66,7 +66,7 @@ def cut_documents(
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut, schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).transform(by_batch, cut, schema)
 
 
 def pack_pow2(

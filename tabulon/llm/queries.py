@@ -10,6 +10,7 @@ from tabulon.llm.mixing import mix_sources
 from tabulon.llm.near import near_duplicates
 from tabulon.llm.packing import pack_pow2
 from tabulon.llm.quality import quality
+from tabulon.llm.suffixes import remove_repeats
 from tabulon.llm.token_files import read_tokens, write_tokens
 from tabulon.llm.tokens import tokenizer_path
 from tabulon.plans.registry import query, rounded
@@ -211,3 +212,8 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 @query("op3_near", NEAR_SQL)
 def op3_near(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op2_suffixes")
+def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))

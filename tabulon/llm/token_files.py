@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm.coder import read_block, write_block
-from tabulon.llm.common import offsets_before, sub_batches
+from tabulon.llm.common import by_batch, offsets_before, sub_batches
 from tabulon.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 20
@@ -88,7 +88,7 @@ def write_tokens(
         .repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id")
     )
-    ordered.mapInArrow(write, FILE_SCHEMA).write.parquet(path)
+    ordered.transform(by_batch, write, FILE_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -122,7 +122,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 columns.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, columns)
 
-    found = blocks.select("part", "start", "block").mapInArrow(read, schema)
+    found = blocks.select("part", "start", "block").transform(by_batch, read, schema)
     counts = blocks.groupBy("part").agg(F.sum("ids").alias("n"))
     before = offsets_before(counts, ["part"], "n", "before").select("part", "before")
     return found.join(before, "part").select(
