@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabulon.llm.common import table
 from tabulon.llm.lines import drop_boilerplate
 from tabulon.llm.mixing import mix_sources
 from tabulon.llm.near import near_duplicates
+from tabulon.llm.neighbours import nearest
 from tabulon.llm.packing import pack_pow2
 from tabulon.llm.quality import quality
 from tabulon.llm.suffixes import remove_repeats
@@ -217,3 +219,8 @@ def op3_near(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_suffixes")
 def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
