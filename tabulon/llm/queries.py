@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.chunks import repeated_chunks
 from tabulon.llm.common import table
 from tabulon.llm.lines import drop_boilerplate
 from tabulon.llm.mixing import mix_sources
@@ -224,3 +225,8 @@ def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_neighbours")
 def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_chunks")
+def op6_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_chunks(table(spark, folder, "documents"))
