@@ -12,6 +12,7 @@ from tabulon.llm.mixing import mix_sources
 from tabulon.llm.near import near_duplicates
 from tabulon.llm.neighbours import nearest
 from tabulon.llm.packing import pack_pow2
+from tabulon.llm.pii import find_pii
 from tabulon.llm.quality import quality
 from tabulon.llm.suffixes import remove_repeats
 from tabulon.llm.token_files import read_tokens, write_tokens
@@ -230,3 +231,8 @@ def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_chunks")
 def op6_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_chunks(table(spark, folder, "documents"))
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find_pii(table(spark, folder, "documents"))
