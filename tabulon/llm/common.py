@@ -54,7 +54,7 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def sub_batches(batches: Iterable[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def sub_batches(batches: Iterable[pa.RecordBatch], limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``limit`` bytes, or a single row."""
     for batch in batches:
         rows = max(1, batch.num_rows * limit // max(1, batch.nbytes))

@@ -180,7 +180,7 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
             yield found()
 
     sets = (
-        docs.join(members.withColumn("pairs", F.array_distinct(pair)), "doc_id")
+        docs.join(members.withColumn("pairs", F.array_distinct(pair)).hint("merge"), "doc_id")
         .select("doc_id", "text", "cluster", "pairs")
         .transform(by_batch, with_sets, "doc_id long, cluster long, pairs array<string>, data binary")
     )
