@@ -286,14 +286,14 @@ def remove_repeats(
         "ranks",
     )
     several = stored(ranks.groupBy("bucket").agg(F.count(F.lit(1)).alias("ranks")).where("ranks > 1"), "buckets")
-    open_runs = ranks.join(several, "bucket").select("bucket", "rank", "one.id", "one.place", "ranks")
+    open_runs = ranks.join(several.hint("merge"), "bucket").select("bucket", "rank", "one.id", "one.place", "ranks")
     texts = _packed(own)
     found = _sorted_blocks(_cut(texts, open_runs.where(F.col("ranks") <= HOT_RUNS), False))
     if several.where(F.col("ranks") > HOT_RUNS).limit(1).count():
         suffixes = stored(_cut(texts, open_runs.where(F.col("ranks") > HOT_RUNS), True), "suffixes")
         found = found.unionByName(_ordered_by_all(suffixes))
     whole = ranks.where("n > 1").select("bucket", "rank", F.lit(None).cast("binary").alias("bits"))
-    part = found.join(ranks.where("n = 1").select("bucket", "rank"), ["bucket", "rank"])
+    part = found.join(ranks.where("n = 1").select("bucket", "rank").hint("merge"), ["bucket", "rank"])
     verdicts = stored(whole.unionByName(part.select("bucket", "rank", "bits")), "verdicts")
     removed = (
         runs.join(verdicts.hint("merge"), ["bucket", "rank"])
