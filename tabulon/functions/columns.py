@@ -18,7 +18,7 @@ def path_part(path: Column | str, from_end: int = 1) -> Column:
 def prefix_label(column: Column | str, prefix: str) -> Column:
     """1.0 where the column starts with ``prefix``, else 0.0; null stays null."""
     column = F.col(column) if isinstance(column, str) else column
-    return column.like(f"{prefix}%").cast("double")
+    return column.startswith(prefix).cast("double")
 
 
 def token_count(tokens: Column | str) -> Column:
@@ -29,7 +29,7 @@ def token_count_udf(tokens: Column | str) -> Column:
     """The user-defined form of :func:`token_count`, batched by Arrow."""
 
     def lengths(column: pd.Series) -> pd.Series:
-        return column.map(len)
+        return column.map(lambda tokens: -1 if tokens is None else len(tokens))
 
     return F.pandas_udf(lengths, T.IntegerType())(tokens)
 
@@ -40,8 +40,11 @@ def items_of_line(line: Column | str) -> Column:
 
 
 def fields_of_line(line: Column | str, schema: str) -> Column:
-    """One comma-separated line as a typed struct; quoted commas stay inside a field."""
-    return F.from_csv(line, schema, {"mode": "PERMISSIVE"})
+    """One comma-separated line as a typed struct; a field that does not fit its type is an error.
+
+    Quoted commas stay inside a field and doubled quotes stand for one, as in RFC 4180.
+    """
+    return F.from_csv(line, schema, {"mode": "FAILFAST", "escape": '"'})
 
 
 def squared_error(label: Column | str, prediction: Column | str) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.ml import feature as mf
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -14,14 +13,6 @@ from pyspark.sql import functions as F
 from tabulon.operators.ordering import exact_quantiles, frequency_ranks
 from tabulon.session import held
 
-# A fitted indexer keeps its labels on the driver and ships them to every task.
-MAX_LABELS_ON_DRIVER = 100_000
-# A covariance of n columns takes n * n doubles on the driver.
-MAX_PCA_COLUMNS = 10_000
-# Word vectors are trained on copies of the whole vocabulary held by each task.
-MAX_EMBEDDING_VALUES = 200_000_000
-WORDS_PER_PART = 1_000_000
-
 # --- numbers -----------------------------------------------------------------
 
 
@@ -103,28 +94,14 @@ def expand_polynomial(df: DataFrame, column: str, out: str = "expanded", degree:
 # --- categories --------------------------------------------------------------
 
 
-def label_counts_fit_driver(df: DataFrame, columns: Sequence[str]) -> bool:
-    """Whether the distinct values of each column are few enough to hold in one place."""
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return all(found[c] <= MAX_LABELS_ON_DRIVER for c in columns)
-
-
 def fit_string_index(
-    df: DataFrame,
-    columns: Sequence[str],
-    outputs: Sequence[str],
-    handle_invalid: str = "error",
-    counted: bool = False,
+    df: DataFrame, columns: Sequence[str], outputs: Sequence[str], handle_invalid: str = "error"
 ) -> mf.StringIndexerModel:
     """One fit for all columns: index by falling frequency, equal counts by value.
 
-    ``counted`` says that the caller has already bounded the number of labels.
+    The fitted model holds all labels and marks its output as categorical, which
+    trees need. For columns of very many labels see :func:`index_by_join`.
     """
-    if not counted and not label_counts_fit_driver(df, columns):
-        raise ValueError(
-            f"over {MAX_LABELS_ON_DRIVER} labels in one of {list(columns)}: "
-            "use index_by_join, which keeps the labels in a table"
-        )
     indexer = mf.StringIndexer(
         inputCols=list(columns), outputCols=list(outputs), handleInvalid=handle_invalid
     )
@@ -136,18 +113,13 @@ def index_by_join(df: DataFrame, column: str, out: str, vocabulary: DataFrame |
 
     ``vocabulary`` is the frame whose values are counted, ``df`` by default. The
     rank table has one row per label; a hot label is split by adaptive skew joins.
+    A null or a label that the vocabulary lacks is an error, as in the fitted model.
     """
     ranks = frequency_ranks(df if vocabulary is None else vocabulary, column, out)
-    ranks = ranks.select(column, F.col(out).cast("double").alias(out))
-    return df.join(ranks, column, "left").select(*df.columns, out)
-
-
-def index_strings(df: DataFrame, column: str, out: str, vocabulary: DataFrame | None = None) -> DataFrame:
-    """String index by falling frequency, whatever the number of labels."""
-    source = df if vocabulary is None else vocabulary
-    if label_counts_fit_driver(source, [column]):
-        return fit_string_index(source, [column], [out], counted=True).transform(df)
-    return index_by_join(df, column, out, vocabulary)
+    ranks = ranks.select(column, F.col(out).cast("double").alias("_rank"))
+    shown = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    unknown = F.raise_error(F.concat(F.lit(f"no index for this label of {column}: "), shown)).cast("double")
+    return df.join(ranks, column, "left").select(*df.columns, F.coalesce("_rank", unknown).alias(out))
 
 
 def indices_to_labels(df: DataFrame, column: str, out: str, labels: Sequence[str]) -> DataFrame:
@@ -201,22 +173,18 @@ def remove_stop_words(
     return remover.transform(df)
 
 
-def english_stop_words() -> list[str]:
-    return mf.StopWordsRemover.loadDefaultStopWords("english")
-
-
 def join_ngrams(df: DataFrame, column: str, out: str = "ngrams", n: int = 2) -> DataFrame:
     return mf.NGram(n=n, inputCol=column, outputCol=out).transform(df)
 
 
 def fit_vocabulary(
-    df: DataFrame, column: str, out: str = "features", vocab_size: int = 1 << 18, min_df: int = 1
+    df: DataFrame, column: str, out: str = "features", vocab_size: int | None = None, min_df: int = 1
 ) -> mf.CountVectorizerModel:
     """A term-count model over the most frequent terms found in ``min_df`` documents.
 
     Terms rank by corpus count, equal counts by term, so unlike the library's own
-    fit the index does not change between runs. At most ``vocab_size`` terms reach
-    the driver.
+    fit the index does not change between runs. All such terms are taken, and reach
+    the driver, unless ``vocab_size`` asks for the first ones only.
     """
     def tally(terms, total: int, documents: int):
         return F.transform(
@@ -237,8 +205,9 @@ def fit_vocabulary(
         .agg(F.sum("total").alias("total"), F.sum("documents").alias("documents"))
         .where(F.col("documents") >= min_df)
         .orderBy(F.desc("total"), "term")
-        .limit(vocab_size)
     )
+    if vocab_size is not None:
+        ranked = ranked.limit(vocab_size)
     terms = [row["term"] for row in ranked.select("term").collect()]
     return mf.CountVectorizerModel.from_vocabulary(terms, inputCol=column, outputCol=out)
 
@@ -263,8 +232,7 @@ def term_table(df: DataFrame, terms: Sequence[str]) -> DataFrame:
 def vector_terms(df: DataFrame, column: str, key: str, vocabulary: Sequence[str]) -> DataFrame:
     """Non-zero entries of a term vector as ``key, term, value`` rows."""
     entries = df.select(key, F.inline(sparse_entries(column)))
-    # The vocabulary was cut to vocab_size terms when it was fitted, which bounds the broadcast.
-    words = F.broadcast(term_table(df, vocabulary))
+    words = term_table(df, vocabulary)
     return entries.join(words, "index").select(key, "term", "value")
 
 
@@ -282,18 +250,19 @@ def weigh_terms(
 ) -> DataFrame:
     """``key, term, value``: term counts times ``ln((N + 1) / (df + 1))``, zeros left out.
 
-    A document adds each term once to the frequencies, which therefore shrink to a
-    row per term before they are shuffled. They meet the counts in a join on the
-    term, where a term of most documents is split by the adaptive skew join.
+    The text is taken apart once: the counts per document and term are also what
+    the frequencies are counted from. They shrink to a row per term before they
+    are shuffled and meet the counts in a join on the term, where a term of most
+    documents is split by the adaptive skew join.
     """
+    counts = count_terms(df, key, column)
     frequency = (
-        df.select(F.explode(F.array_distinct(column)).alias("term"))
-        .groupBy("term")
+        counts.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .where(F.col("df") >= min_doc_freq)
     )
     weight = F.log((F.lit(documents) + 1.0) / (F.col("df") + 1.0))
-    weighted = count_terms(df, key, column).join(frequency, "term")
+    weighted = counts.join(frequency, "term")
     return weighted.select(key, "term", (F.col("value") * weight).alias("value")).where(
         F.col("value") != 0
     )
@@ -315,25 +284,21 @@ def fit_word_vectors(
     size: int = 3,
     min_count: int = 0,
     seed: int = 1,
-    partitions: int | None = None,
+    partitions: int = 8,
 ) -> mf.Word2VecModel:
     """Skip-gram word vectors; a document vector is the mean over its words.
 
-    The library keeps the whole vocabulary in each task, so its size is checked.
-    The text is trained in one part per million words unless told otherwise: one
-    part for the whole text, the library's default, would be one task.
+    The library keeps the whole vocabulary in each task: raise ``min_count`` if it
+    does not fit there. The text is trained in ``partitions`` parts, on which the
+    vectors depend; one part, the library's default, would be one task.
     """
-    counts = df.select(F.explode(column).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    terms, tokens = counts.agg(F.count_if(F.col("n") >= min_count), F.sum("n")).first()
-    if terms * size > MAX_EMBEDDING_VALUES:
-        raise ValueError(f"{terms} words of size {size} do not fit in a task: raise min_count")
     model = mf.Word2Vec(
         vectorSize=size,
         minCount=min_count,
         inputCol=column,
         outputCol=out,
         seed=seed,
-        numPartitions=partitions or max(1, math.ceil((tokens or 0) / WORDS_PER_PART)),
+        numPartitions=partitions,
     )
     return model.fit(df)
 
@@ -347,14 +312,7 @@ def sql_stage(df: DataFrame, statement: str) -> DataFrame:
 
 
 def fit_pca(df: DataFrame, column: str, out: str = "pca", k: int = 3) -> mf.PCAModel:
-    """Principal axes; the number of input columns is checked, not the number of rows."""
-    head = df.select(F.size(vector_to_array(column)).alias("width")).first()
-    if head is not None and head["width"] > MAX_PCA_COLUMNS:
-        raise ValueError(f"{head['width']} columns: the covariance would not fit on the driver")
+    """Principal axes; the covariance of n columns takes n * n doubles on the driver."""
     with held(df.select(column)) as (vectors,):
         return mf.PCA(k=k, inputCol=column, outputCol=out).fit(vectors)
 
-
-def transform_all(df: DataFrame, stages: Sequence) -> DataFrame:
-    """Apply already fitted stages in order."""
-    return PipelineModel(list(stages)).transform(df)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,13 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.ordering import dense_ids
-from tabulon.operators.tables import matched_errors, root_mean_square
+from tabulon.operators.tables import root_mean_square, squared_errors
 from tabulon.session import held, shared_folder
 
 _INT_MAX = 2**31 - 1
-_RATINGS_PER_BLOCK = 5_000_000
-# Blocks exchange messages in pairs, so their number must not grow with the data for ever.
-_MAX_BLOCKS = 4_000
 # New users are scored in batches of this size: their factors travel inside the plan.
 USERS_PER_PASS = 500
 
@@ -63,24 +59,24 @@ def fit_als(
     iterations: int = 10,
     reg: float = 0.1,
     seed: int = 5,
-    blocks: int | None = None,
+    blocks: int = 10,
     nonnegative: bool = False,
 ) -> Recommender:
     """Factorise ``user_id, item_id, rating``.
 
     The library needs 32-bit ids: ids in that range are cast, others replaced by
-    dense codes from a join table. The number of blocks grows with the ratings.
+    dense codes from a join table. ``blocks`` is the number of blocks of users and of
+    items: raise it with the ratings, which lie in blocks; starting factors depend on it.
     """
     spark = ratings.sparkSession
     shared_folder(spark)  # the fit cuts its own lineage there
     with held(ratings.select("user_id", "item_id", "rating")) as (rows,):
-        n, low_u, high_u, low_i, high_i = rows.agg(
-            F.count(F.lit(1)), F.min("user_id"), F.max("user_id"), F.min("item_id"), F.max("item_id")
+        low_u, high_u, low_i, high_i = rows.agg(
+            F.min("user_id"), F.max("user_id"), F.min("item_id"), F.max("item_id")
         ).first()
         users = None if _fits_int(low_u, high_u) else dense_ids(rows, "user_id", "_code")
         items = None if _fits_int(low_i, high_i) else dense_ids(rows, "item_id", "_code")
         coded = _coded(_coded(rows, users, "user_id", "_user"), items, "item_id", "_item")
-        count = blocks or min(_MAX_BLOCKS, max(10, math.ceil(n / _RATINGS_PER_BLOCK)))
         als = ALS(
             userCol="_user",
             itemCol="_item",
@@ -89,8 +85,8 @@ def fit_als(
             maxIter=iterations,
             regParam=reg,
             seed=seed,
-            numUserBlocks=count,
-            numItemBlocks=count,
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
             nonnegative=nonnegative,
             coldStartStrategy="drop",
         )
@@ -129,10 +125,7 @@ def search_rank(
     with held(train, validation) as (train_rows, validation_rows):
         for rank in ranks:
             fitted = fit_als(train_rows, rank=rank, **settings)
-            errors = matched_errors(
-                validation_rows, fitted.predict(validation_rows.select("user_id", "item_id"))
-            )
-            found = root_mean_square(errors).first()
+            found = root_mean_square(squared_errors(fitted.predict(validation_rows))).first()
             rows.append((rank, found["n"], found["rmse"]))
     best = min(rows, key=lambda row: (row[2], row[0]))[0]
     return spark.createDataFrame(

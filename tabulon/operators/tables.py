@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions import hash_unit, squared_error
+from tabulon.session import materialised
 
 # --- columns -----------------------------------------------------------------
 
@@ -64,8 +65,12 @@ def column_arity(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Row-wise random split. The rows drawn depend on the partitioning as well as the seed."""
-    return df.randomSplit([float(w) for w in weights], seed)
+    """Row-wise random split. The rows drawn depend on the partitioning as well as the seed.
+
+    The frame is written first: each part is drawn from the same written rows, so the
+    parts neither overlap nor lose rows when one of them is worked out again.
+    """
+    return materialised(df).randomSplit([float(w) for w in weights], seed)
 
 
 def with_split(
@@ -132,23 +137,13 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def with_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
-    return df.where(F.col(column).like(f"{prefix}%"))
+    return df.where(F.col(column).startswith(prefix))
 
 
 def first_rows(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def group_counts(df: DataFrame, column: str, n: int = 8) -> DataFrame:
-    """The ``n`` most frequent values, equal counts by value."""
-    return (
-        df.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .orderBy(F.desc("cnt"), column)
-        .limit(n)
-    )
-
-
 def part_counts(df: DataFrame) -> DataFrame:
     """Row counts per ``part`` and in total from one pass; the total has part ``all``."""
     counts = df.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -224,6 +219,11 @@ def matched_errors(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     ).withColumn("squared_error", squared_error("rating", "prediction"))
 
 
+def squared_errors(predictions: DataFrame) -> DataFrame:
+    """Predictions that still carry the true rating, with the squared error of each."""
+    return predictions.withColumn("squared_error", squared_error("rating", "prediction"))
+
+
 def root_mean_square(df: DataFrame, column: str = "squared_error") -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(column)).alias("rmse")

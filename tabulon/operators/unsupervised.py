@@ -11,7 +11,6 @@ from tabulon.operators.features import term_table
 from tabulon.session import held, scratch_path
 
 # Applying rules inside the library ships every rule to every task.
-MAX_RULES_ON_DRIVER = 100_000
 
 
 def fit_kmeans(
@@ -149,18 +148,9 @@ def rule_table(model: FPGrowthModel) -> DataFrame:
 
 
 def predict_by_rules(model: FPGrowthModel, df: DataFrame, key: str, items: str = "items") -> DataFrame:
-    """Consequents of all matching rules that the basket does not hold yet.
+    """Consequents of all matching rules that the basket does not hold yet, by a join.
 
-    A bounded number of rules is shipped to the tasks; beyond it the rules stay a
-    table and baskets are matched to them by a join.
-    """
-    if model.associationRules.limit(MAX_RULES_ON_DRIVER + 1).count() <= MAX_RULES_ON_DRIVER:
-        return model.transform(df)
-    return predict_by_join(model, df, key, items)
-
-
-def predict_by_join(model: FPGrowthModel, df: DataFrame, key: str, items: str = "items") -> DataFrame:
-    """Rule prediction as a join: each rule waits at its rarest antecedent item.
+    Each rule waits at its rarest antecedent item, and the rules stay a table.
 
     A basket meets a rule at most once, and the frequent items, which most baskets
     hold, bring few rules along.

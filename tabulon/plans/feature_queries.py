@@ -171,7 +171,7 @@ _RANKS_SQL = """ranks AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) D
 )
 def string_index(spark: SparkSession, folder: str) -> DataFrame:
     parts = read_table(spark, folder, "part").select("p_partkey", "p_brand")
-    return features.index_strings(parts, "p_brand", "brand_index")
+    return features.index_by_join(parts, "p_brand", "brand_index")
 
 
 @query(
@@ -208,7 +208,7 @@ def index_to_string(spark: SparkSession, folder: str) -> DataFrame:
 )
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    indexed = features.index_strings(orders, "o_orderstatus", "status_index")
+    indexed = features.index_by_join(orders, "o_orderstatus", "status_index")
     encoded = features.one_hot(indexed, ["status_index"], ["hot"]).drop("status_index")
     return features.vector_columns(encoded, "hot", ["first_class", "second_class"])
 

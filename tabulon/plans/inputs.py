@@ -9,17 +9,12 @@ from tabulon.operators import features, unsupervised
 from tabulon.session import spread
 from tabulon.sources import read_table
 
-# The new user's ten ratings as (item, rating).
-NEW_RATINGS = [
-    (260, 9), (1, 8), (16, 7), (25, 8), (32, 9),
-    (335, 4), (379, 3), (296, 7), (858, 10), (50, 8),
-]
 # The test customers are numbered from 0, so the new user takes a number below them.
 NEW_USER = -1
 
-NEW_RATINGS_SQL = "new_ratings AS (SELECT CAST(u AS BIGINT) AS user_id, CAST(i AS BIGINT) AS item_id, CAST(r AS DOUBLE) AS rating FROM (VALUES {}) v(u, i, r))".format(
-    ", ".join(f"({NEW_USER}, {item}, {rating})" for item, rating in NEW_RATINGS)
-)
+NEW_RATINGS_SQL = f"""new_ratings AS (
+  SELECT CAST({NEW_USER} AS BIGINT) AS user_id, p_partkey AS item_id, CAST(1 + p_size % 10 AS DOUBLE) AS rating
+  FROM part WHERE p_partkey % 97 = 1)"""
 RATINGS_SQL = """ratings AS (
   SELECT o_custkey AS user_id, l_partkey AS item_id, avg(l_quantity) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
@@ -55,10 +50,12 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def new_ratings(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(NEW_USER, item, float(rating)) for item, rating in NEW_RATINGS],
-        "user_id long, item_id long, rating double",
+def new_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """The new user rates every 97th part, by its size."""
+    return read_table(spark, folder, "part").where("p_partkey % 97 = 1").select(
+        F.lit(NEW_USER).cast("long").alias("user_id"),
+        F.col("p_partkey").alias("item_id"),
+        (1 + F.col("p_size") % 10).cast("double").alias("rating"),
     )
 
 

@@ -21,10 +21,11 @@ from tabulon.session import held
 
 @dataclass(frozen=True)
 class TabularData:
-    """Rows with an assembled feature vector, and the names of its entries."""
+    """Rows with an assembled feature vector, the names of its entries, and its widest category."""
 
     rows: DataFrame
     names: list[str]
+    arity: int = 0  # of the widest category
 
 
 def prepare_table(
@@ -32,30 +33,24 @@ def prepare_table(
     others: Sequence[DataFrame] = (),
     label: str = "loss",
     key: str = "id",
-    max_arity: int = 32,
+    dropped: Sequence[str] = (),
 ) -> list[TabularData]:
     """Index the ``cat*`` columns over all frames together and assemble the features.
 
-    Categories with more than ``max_arity`` values are left out, since trees
-    cannot split on them; the indexers are fitted for the kept columns in one pass.
+    The columns in ``dropped`` are left out; the indexers of all others are fitted in one pass.
     """
-    columns = [c for c in train.columns if c not in (key, label)]
+    columns = [c for c in train.columns if c not in (key, label, *dropped)]
     categories = [c for c in columns if c.startswith("cat")]
     both = tables.union_all(*[frame.select(*categories) for frame in (train, *others)])
     with held(both) as (values,):
-        arity = tables.column_arity(values, categories, max_arity)
-        kept = {row["feature"] for row in arity.where("kept").collect()}
-        indexed = [c for c in categories if c in kept]
-        index = features.fit_string_index(
-            values, indexed, ["idx_" + c for c in indexed], counted=True
-        )
-    used = [c for c in columns if c not in categories or c in kept]
-    names = tables.feature_columns(used, dropped=(key, label))
+        index = features.fit_string_index(values, categories, ["idx_" + c for c in categories])
+    names = tables.feature_columns(columns, dropped=(key, label))
+    arity = max(map(len, index.labelsArray), default=0)
 
     def shaped(frame: DataFrame) -> TabularData:
         ready = features.vectorised(index.transform(frame), names)
         target = [F.col(label).alias("label")] if label in frame.columns else []
-        return TabularData(ready.select(key, *target, "features"), names)
+        return TabularData(ready.select(key, *target, "features"), names, arity)
 
     return [shaped(frame) for frame in (train, *others)]
 
@@ -94,14 +89,15 @@ def regress_table(
     kind: str = "forest",
     key: str = "id",
     grid: dict[str, Sequence] | None = None,
-    max_bins: int = 32,
+    max_bins: int | None = None,
     folds: int = 3,
     seed: int = 1,
     parallelism: int = 4,
 ) -> RegressionRun:
     """Split 7:3, search a grid by cross-validation, refit the best tree model.
 
-    Forests search trees and depth, boosted trees rounds and depth.
+    Forests search trees and depth, boosted trees rounds and depth. Without
+    ``max_bins`` there are 32 bins, or as many as the widest category has values.
     """
     if grid is None:
         first = "numTrees" if kind == "forest" else "maxIter"
@@ -109,7 +105,7 @@ def regress_table(
     rows = tables.with_split(data.rows, [key], {"train": 7, "validation": 3}, seed)
     train = tables.with_fold(rows.where("part = 'train'"), [key], folds, seed + 1).drop("part")
     validation = rows.where("part = 'validation'").drop("part")
-    model = supervised.tree_regressor(kind, "features", "label", seed, maxBins=max_bins)
+    model = supervised.tree_regressor(kind, "features", "label", seed, maxBins=max_bins or max(32, data.arity))
     points = tuning.param_grid({model.getParam(name): values for name, values in grid.items()})
     search = tuning.cross_validate(
         model, points, evaluate.rmse_evaluator(), train, folds, parallelism=parallelism, seed=seed

@@ -218,11 +218,11 @@ def logistic_score_equations(spark: SparkSession, folder: str) -> DataFrame:
 
 def _one_hot_priority(spark: SparkSession, folder: str, label: str) -> DataFrame:
     orders = inputs.priced_orders(spark, folder).withColumnRenamed("label", "price")
-    indexed = features.index_strings(orders, "priority", "priority_index")
+    indexed = features.index_by_join(orders, "priority", "priority_index")
     hot = features.one_hot(indexed, ["priority_index"], ["features"])
     if label == "dear":
         return hot.withColumn("label", (F.col("price") > 250_000).cast("double"))
-    return features.index_strings(hot, "status", "label")
+    return features.index_by_join(hot, "status", "label")
 
 
 _GROUP_RATES_SQL = """SELECT o_orderpriority AS priority, count(*) AS n, round(avg(CAST(o_totalprice > 250000 AS DOUBLE)), 4) + 0.0 AS p
@@ -314,7 +314,8 @@ def mlp_separable(spark: SparkSession, folder: str) -> DataFrame:
 
 def _group_model(spark: SparkSession, folder: str, kind: str, **params):
     orders = inputs.priced_orders(spark, folder)
-    indexed = features.index_strings(orders, "priority", "priority_index")
+    index = features.fit_string_index(orders, ["priority"], ["priority_index"])
+    indexed = index.transform(orders)
     rows = features.vectorised(indexed, ["priority_index"])
     return rows, supervised.fit_indexed_regressor(rows, kind, max_categories=5, **params)
 
@@ -362,7 +363,7 @@ def _group_majority(spark: SparkSession, folder: str, kind: str, label: str, **p
     orders = inputs.priced_orders(spark, folder)
     dear = F.when(F.col("label") > 250_000, "dear").otherwise("cheap")
     named = orders.withColumn("dear", dear).drop("label")
-    indexed = features.index_strings(named, "priority", "priority_index")
+    indexed = features.fit_string_index(named, ["priority"], ["priority_index"]).transform(named)
     rows = features.vectorised(indexed, ["priority_index"])
     model = supervised.fit_indexed_classifier(
         rows, kind, label=label, max_categories=5, maxDepth=5, **params
@@ -436,7 +437,7 @@ def gbt_classify(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _line_features(spark: SparkSession, folder: str) -> jobs.TabularData:
-    return jobs.prepare_table(inputs.insurance(spark, folder))[0]
+    return jobs.prepare_table(inputs.insurance(spark, folder), dropped=("cat3", "cat5"))[0]
 
 
 def _regressed(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
@@ -460,7 +461,7 @@ def gbt_regress(spark: SparkSession, folder: str) -> DataFrame:
 @query("forest_summary")
 def forest_summary(spark: SparkSession, folder: str) -> DataFrame:
     rows = _line_features(spark, folder).rows
-    model = supervised.fit_indexed_regressor(rows, "forest", max_categories=32, numTrees=5)
+    model = supervised.fit_indexed_regressor(rows, "forest", max_categories=32, numTrees=20)
     return supervised.tree_summary(spark, supervised.model_stage(model))
 
 
@@ -478,7 +479,7 @@ def tree_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query("feature_importances")
 def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
     data = _line_features(spark, folder)
-    model = supervised.fit_indexed_regressor(data.rows, "forest", max_categories=32, numTrees=5)
+    model = supervised.fit_indexed_regressor(data.rows, "forest", max_categories=32, numTrees=20)
     found = supervised.importance_table(spark, supervised.model_stage(model), data.names)
     return _rounded_all(found, 6, "importance")
 
@@ -566,7 +567,7 @@ def silhouette(spark: SparkSession, folder: str) -> DataFrame:
 def gmm(spark: SparkSession, folder: str) -> DataFrame:
     """Two Gaussians over quantity, discount and tax of all order lines."""
     rows = inputs.line_vectors(spark, folder)
-    model = unsupervised.fit_mixture(rows, k=2, seed=0, max_iter=20)
+    model = unsupervised.fit_mixture(rows, k=2, seed=0, max_iter=100)
     found = unsupervised.mixture_table(spark, model)
     return _rounded_all(found, 4, "weight", "mean", "variance")
 
@@ -581,7 +582,7 @@ def gmm(spark: SparkSession, folder: str) -> DataFrame:
 def gmm_moments(spark: SparkSession, folder: str) -> DataFrame:
     """Whatever optimum is found, the mixture has the mean and mean square of the data."""
     rows = inputs.line_vectors(spark, folder)
-    model = unsupervised.fit_mixture(rows, k=2, seed=0, max_iter=20)
+    model = unsupervised.fit_mixture(rows, k=2, seed=0, max_iter=100)
     parts = unsupervised.mixture_table(spark, model)
     square = F.col("variance") + F.col("mean") * F.col("mean")
     return parts.groupBy("axis").agg(
@@ -687,14 +688,6 @@ def rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _predicted(unsupervised.predict_by_rules(model, baskets, "basket"))
 
 
-@query("rule_predictions_by_join", _PREDICTED_SQL)
-def rule_predictions_by_join(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with the rules kept as a table."""
-    baskets = inputs.baskets(spark, folder)
-    model = unsupervised.fit_itemsets(baskets, min_support=_SUPPORT, min_confidence=_CONFIDENCE)
-    return _predicted(unsupervised.predict_by_join(model, baskets, "basket"))
-
-
 # --- evaluation --------------------------------------------------------------
 
 
@@ -793,7 +786,7 @@ def text_classifier_auc(spark: SparkSession, folder: str) -> DataFrame:
 def text_cv(spark: SparkSession, folder: str) -> DataFrame:
     """Area under ROC per grid point, three folds."""
     rows = _labelled_tokens(spark, folder).where("part = 'train'")
-    model = jobs.tune_text(rows, num_features=(100, 1_000), min_doc_freq=(0, 10))
+    model = jobs.tune_text(rows, num_features=(1_000, 10_000, 100_000), min_doc_freq=(0, 10, 100))
     return _rounded_all(tuning.metric_table(spark, model, larger_is_better=True), 6, "metric")
 
 
@@ -817,8 +810,8 @@ def loss_regression_cv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("loss_regression_gbt")
 def loss_regression_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    """Training and validation metrics of boosted trees over a small grid."""
-    run = _regression_run(spark, folder, "boosted", {"maxIter": (5,), "maxDepth": (3, 4)})
+    """Training and validation metrics of the searched boosted trees."""
+    run = _regression_run(spark, folder, "boosted", {"maxIter": (5, 20), "maxDepth": (4, 6)})
     return _rounded_all(run.metrics(), 4, "mse", "rmse", "mae", "r2", "explained_variance")
 
 
@@ -837,7 +830,8 @@ def loss_regression_gbt(spark: SparkSession, folder: str) -> DataFrame:
 def param_grid_cv(spark: SparkSession, folder: str) -> DataFrame:
     """Three-fold error of every point of a depth by bins grid, folds given by the order key."""
     orders = inputs.priced_orders(spark, folder)
-    indexed = features.index_strings(orders, "priority", "priority_index")
+    index = features.fit_string_index(orders, ["priority"], ["priority_index"])
+    indexed = index.transform(orders)
     rows = features.vectorised(indexed, ["priority_index"]).select(
         "features", "label", (F.col("id") % 3).cast("int").alias("fold")
     )

@@ -94,15 +94,15 @@ def parse_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "parse_items",
-    """SELECT p_partkey AS item_id, p_name || ', ' || p_brand AS title, p_type AS first_genre,
+    """SELECT p_partkey AS item_id, p_name || ', "' || p_brand || '"' AS title, p_type AS first_genre,
               CAST(2 AS INTEGER) AS n_genres FROM part""",
 )
 def parse_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Item lines whose quoted titles hold commas and whose genres are split at bars."""
+    """Item lines whose quoted titles hold commas and quotes, and whose genres are split at bars."""
     path = scratch_path(spark, "items")
     rows = read_table(spark, folder, "part").select(
         F.col("p_partkey").alias("movieId"),
-        F.concat_ws(", ", "p_name", "p_brand").alias("title"),
+        F.concat(F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"')).alias("title"),
         F.concat_ws("|", "p_type", "p_brand").alias("genres"),
     )
     write_csv(rows, path)

@@ -66,7 +66,7 @@ def select_features(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT doc_id, source, n_chars FROM documents WHERE source LIKE 'src1%'",
 )
 def filter_prefix(spark: SparkSession, folder: str) -> DataFrame:
-    docs = inputs.documents(spark, folder).select("doc_id", "source", "n_chars")
+    docs = read_table(spark, folder, "documents").select("doc_id", "source", "n_chars")
     return tables.with_prefix(docs, "source", "src1")
 
 
@@ -75,7 +75,7 @@ def filter_prefix(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT doc_id, lang AS topic, CAST(lang LIKE 'en%' AS DOUBLE) AS label FROM documents",
 )
 def label_from_prefix(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.documents(spark, folder).select(
+    return read_table(spark, folder, "documents").select(
         "doc_id", F.col("lang").alias("topic"), prefix_label("lang", "en").alias("label")
     )
 
@@ -86,7 +86,7 @@ def label_from_prefix(spark: SparkSession, folder: str) -> DataFrame:
         WHERE p_partkey NOT IN (SELECT item_id FROM new_ratings)""",
 )
 def unrated_items(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.unrated_items(inputs.items(spark, folder), inputs.new_ratings(spark))
+    return tables.unrated_items(inputs.items(spark, folder), inputs.new_ratings(spark, folder))
 
 
 @query(
@@ -96,7 +96,7 @@ def unrated_items(spark: SparkSession, folder: str) -> DataFrame:
 )
 def candidate_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return tables.candidate_pairs(
-        inputs.items(spark, folder), inputs.new_ratings(spark), inputs.NEW_USER
+        inputs.items(spark, folder), inputs.new_ratings(spark, folder), inputs.NEW_USER
     )
 
 
@@ -107,7 +107,7 @@ def candidate_pairs(spark: SparkSession, folder: str) -> DataFrame:
         FROM both_parts GROUP BY 1""",
 )
 def ratings_with_new_user(spark: SparkSession, folder: str) -> DataFrame:
-    both = tables.union_all(inputs.ratings(spark, folder), inputs.new_ratings(spark))
+    both = tables.union_all(inputs.ratings(spark, folder), inputs.new_ratings(spark, folder))
     return both.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_ratings"), rounded(F.avg("rating"), 6).alias("mean_rating")
     )
@@ -170,10 +170,11 @@ def rmse_baseline(spark: SparkSession, folder: str) -> DataFrame:
         FROM stats JOIN part ON item_id = p_partkey""",
 )
 def item_title_counts(spark: SparkSession, folder: str) -> DataFrame:
-    ratings = inputs.ratings(spark, folder)
-    scores = ratings.groupBy("item_id").agg(F.max("rating").alias("score"))
-    joined = tables.rated_titles(scores, inputs.items(spark, folder), tables.item_stats(ratings))
-    return joined.withColumn("score", rounded("score", 6))
+    stats = inputs.ratings(spark, folder).groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_ratings"), F.max("rating").alias("score")
+    )
+    titled = inputs.items(spark, folder).join(stats, "item_id")
+    return titled.select("item_id", "title", rounded("score", 6).alias("score"), "n_ratings")
 
 
 @query(
@@ -196,7 +197,7 @@ def key_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("distinct_topics", "SELECT DISTINCT lang AS topic FROM documents")
 def distinct_topics(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.distinct_values(inputs.topics(spark, folder), "topic")
+    return tables.distinct_values(read_table(spark, folder, "documents").select(F.col("lang").alias("topic")), "topic")
 
 
 @query(
@@ -213,12 +214,13 @@ def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT doc_id AS id, lang AS topic, md5(text) AS digest FROM documents ORDER BY doc_id LIMIT 5",
 )
 def limit_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tables.first_rows(inputs.topics(spark, folder), ["id"], 5)
+    docs = read_table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("topic"))
+    rows = tables.first_rows(docs, ["id"], 5)
     return rows.select("id", "topic", F.md5("text").alias("digest"))
 
 
-_UNION_SQL = """both_parts AS (SELECT p_brand AS value FROM part WHERE p_size <= 40
-  UNION ALL SELECT p_type FROM part WHERE p_size > 10)"""
+_UNION_SQL = """both_parts AS (SELECT p_brand AS value FROM part
+  UNION ALL SELECT p_type FROM part)"""
 
 
 @query(
@@ -230,10 +232,10 @@ _UNION_SQL = """both_parts AS (SELECT p_brand AS value FROM part WHERE p_size <=
 def index_union(spark: SparkSession, folder: str) -> DataFrame:
     """One index over a training and a test column, so that it covers the values of both."""
     part = read_table(spark, folder, "part")
-    train = part.where("p_size <= 40").select(F.col("p_brand").alias("value"))
-    test = part.where("p_size > 10").select(F.col("p_type").alias("value"))
+    train = part.select(F.col("p_brand").alias("value"))
+    test = part.select(F.col("p_type").alias("value"))
     both = tables.union_all(train, test)
-    return features.index_strings(both.distinct(), "value", "value_index", vocabulary=both)
+    return features.index_by_join(both.distinct(), "value", "value_index", vocabulary=both)
 
 
 @query("random_split")
@@ -294,7 +296,7 @@ def sample_share(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("take_sample")
 def take_sample(spark: SparkSession, folder: str) -> DataFrame:
-    docs = inputs.documents(spark, folder).select("doc_id", "source")
+    docs = read_table(spark, folder, "documents").select("doc_id", "source")
     return tables.take_sample(docs, 20, seed=10)
 
 
@@ -304,7 +306,7 @@ def take_sample(spark: SparkSession, folder: str) -> DataFrame:
 )
 def take_sample_size(spark: SparkSession, folder: str) -> DataFrame:
     """A fixed-size sample has exactly that many rows, all of them different."""
-    docs = inputs.documents(spark, folder).select("doc_id")
+    docs = read_table(spark, folder, "documents").select("doc_id")
     return tables.take_sample(docs, 20, seed=10).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_distinct")
     )

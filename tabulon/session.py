@@ -11,8 +11,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-# With fewer rows than this, a task of an iterative fit costs more to hand out than to run.
-ROWS_PER_TASK = 2_000
 
 
 def local_session(cpus: int | str = "*", app: str = "tabulon", **settings: str) -> SparkSession:
@@ -44,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tabulon-")
     if context.getCheckpointDir() is None:
@@ -68,40 +66,30 @@ def materialised(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for work that costs far more than reading.
-
-    A small table in few files arrives in fewer partitions than there are cores,
-    and everything computed from it row by row would stay there. It is
-    repartitioned only then: a table with a partition per core is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """At least as many partitions as the session shuffles into, for work that costs far more than reading."""
+    parts = _session_parts(df)
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
 
 
-def _balanced(frame: DataFrame) -> DataFrame:
-    """A kept frame in as many partitions as pay off: all cores for many rows, few for few."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    # Counting fills the kept copy, which then knows its partitions as well.
-    useful = max(1, frame.count() // ROWS_PER_TASK)
-    parts = frame.rdd.getNumPartitions()
-    if parts > useful:
-        return frame.coalesce(useful)
-    if 2 * parts < min(cores, useful):
-        return frame.repartition(min(cores, useful)).persist(StorageLevel.MEMORY_AND_DISK)
-    return frame
+def _session_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 @contextmanager
 def held(*frames: DataFrame, balanced: bool = False) -> Iterator[tuple[DataFrame, ...]]:
     """Keep frames that an iterative fit reads many times, and let go afterwards.
 
-    ``balanced`` also suits the number of partitions to the rows and the cores.
+    ``balanced`` deals the rows into as many partitions as the session shuffles into,
+    whatever their number: seeded fits depend on it. Frames that were kept before
+    stay kept.
     """
-    kept = [frame.persist(StorageLevel.MEMORY_AND_DISK) for frame in frames]
+    if balanced:
+        frames = tuple(frame.repartition(_session_parts(frame)) for frame in frames)
+    kept = [frame for frame in frames if not frame.is_cached]
+    for frame in kept:
+        frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if balanced:
-            kept += [_balanced(frame) for frame in frames]
-        yield tuple(kept[-len(frames) :])
+        yield frames
     finally:
         for frame in kept:
             frame.unpersist()

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from tabulon.functions import path_part
 
 # The column layouts of the external files the jobs accept.
-RATING_SCHEMA = "userId INT, movieId INT, rating DOUBLE, timestamp BIGINT"
-MOVIE_SCHEMA = "movieId INT, title STRING, genres STRING"
+RATING_SCHEMA = "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT"
+MOVIE_SCHEMA = "movieId BIGINT, title STRING, genres STRING"
 
 
 def string_schema(names: str) -> T.StructType:

@@ -18,7 +18,6 @@ from tabulon.operators import (
     tuning,
     unsupervised,
 )
-from tabulon import session
 from tabulon.plans import inputs, jobs
 from tabulon.session import held, spread
 
@@ -162,23 +161,23 @@ def test_baskets_with_a_hot_key(spark):
 
 
 def test_spread_only_widens(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores + 3)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == parts
+    wide = spark.range(100).repartition(parts + 3)
     assert spread(wide) is wide
 
 
-def test_held_frames_suit_their_rows_and_are_let_go(spark, monkeypatch):
-    cores = spark.sparkContext.defaultParallelism
-    df, scattered = spark.range(50).coalesce(1), spark.range(60).repartition(5)
-    with held(df, scattered, balanced=True) as (few, gathered):
-        assert df.is_cached and few.count() == 50
-        assert gathered.rdd.getNumPartitions() == 1 and gathered.count() == 60
-    assert not df.is_cached and not scattered.is_cached
-    monkeypatch.setattr(session, "ROWS_PER_TASK", 5)
-    with held(df, balanced=True) as (rows,):
-        assert rows.rdd.getNumPartitions() == cores and rows.count() == 50 and rows.is_cached
-    assert not df.is_cached and not rows.is_cached
+def test_held_frames_are_dealt_by_the_setting_and_let_go(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for rows in (5, 5000):
+        with held(spark.range(rows).coalesce(1), balanced=True) as (dealt,):
+            assert dealt.is_cached and dealt.count() == rows and dealt.rdd.getNumPartitions() == parts
+        assert not dealt.is_cached
+    before = spark.range(7).cache()
+    with held(before) as (same,):
+        assert same is before
+    assert before.is_cached
+    before.unpersist()
 
 
 # --- evaluation --------------------------------------------------------------
@@ -253,8 +252,8 @@ def test_glm_p_values(spark, folder):
 
 
 def test_importances_sum_to_one(spark, folder):
-    data = jobs.prepare_table(inputs.insurance(spark, folder))[0]
-    assert data.names == ["idx_cat1", "idx_cat2", "idx_cat3", "idx_cat4"] + [f"cont{i}" for i in range(1, 6)]
+    data = jobs.prepare_table(inputs.insurance(spark, folder), dropped=("cat3", "cat5"))[0]
+    assert data.names == ["idx_cat1", "idx_cat2", "idx_cat4"] + [f"cont{i}" for i in range(1, 6)]
     model = supervised.fit_indexed_regressor(data.rows, "forest", max_categories=32, numTrees=3)
     stage = supervised.model_stage(model)
     table = supervised.importance_table(spark, stage, data.names)
@@ -366,13 +365,13 @@ def test_both_recommendation_routes_agree(spark, folder):
 
 
 def test_scores_are_the_predictions_of_all_candidate_pairs(spark, folder):
-    items, fresh = inputs.items(spark, folder), inputs.new_ratings(spark)
+    items, fresh = inputs.items(spark, folder), inputs.new_ratings(spark, folder)
     fitted = jobs.recommend_model(inputs.ratings(spark, folder), fresh, iterations=3)
     pairs = tables.candidate_pairs(items, fresh, inputs.NEW_USER)
     predicted = {r["item_id"]: r["prediction"] for r in fitted.predict(pairs).collect()}
     scored = recommend.score_users(fitted, items.select("item_id"), [inputs.NEW_USER])
     scores = {r["item_id"]: r["score"] for r in scored.collect()}
-    rated = {item for item, _ in inputs.NEW_RATINGS}
+    rated = {row["item_id"] for row in fresh.collect()}
     assert set(predicted) == set(scores) - rated
     assert all(scores[i] == pytest.approx(predicted[i], abs=1e-4) for i in predicted)
 
