@@ -9,7 +9,7 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.tuning import CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators import evaluate, features, supervised, tables, tuning
@@ -93,19 +93,28 @@ def regress_table(
     folds: int = 3,
     seed: int = 1,
     parallelism: int = 4,
+    split: Column | None = None,
+    fold: Column | None = None,
+    **params,
 ) -> RegressionRun:
     """Split 7:3, search a grid by cross-validation, refit the best tree model.
 
     Forests search trees and depth, boosted trees rounds and depth. Without
     ``max_bins`` there are 32 bins, or as many as the widest category has values.
+    ``split`` (train or validation) and ``fold`` (from 0) replace the seeded ones;
+    ``params`` are the library's own parameters of the model.
     """
     if grid is None:
         first = "numTrees" if kind == "forest" else "maxIter"
         grid = {first: (5, 20), "maxDepth": (4, 6)}
-    rows = tables.with_split(data.rows, [key], {"train": 7, "validation": 3}, seed)
-    train = tables.with_fold(rows.where("part = 'train'"), [key], folds, seed + 1).drop("part")
+    if split is None:
+        rows = tables.with_split(data.rows, [key], {"train": 7, "validation": 3}, seed)
+    else:
+        rows = data.rows.withColumn("part", split)
+    train = rows.where("part = 'train'").drop("part")
+    train = tables.with_fold(train, [key], folds, seed + 1) if fold is None else train.withColumn("fold", fold)
     validation = rows.where("part = 'validation'").drop("part")
-    model = supervised.tree_regressor(kind, "features", "label", seed, maxBins=max_bins or max(32, data.arity))
+    model = supervised.tree_regressor(kind, "features", "label", seed, maxBins=max_bins or max(32, data.arity), **params)
     points = tuning.param_grid({model.getParam(name): values for name, values in grid.items()})
     search = tuning.cross_validate(
         model, points, evaluate.rmse_evaluator(), train, folds, parallelism=parallelism, seed=seed

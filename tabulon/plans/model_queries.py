@@ -347,8 +347,8 @@ def tree_regress(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("forest_regress_exact", _GROUP_MEANS_SQL)
 def forest_regress_exact(spark: SparkSession, folder: str) -> DataFrame:
-    """A forest of one tree on all rows is that tree."""
-    params = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    """Ten trees on all rows and features are ten times the same tree, and so is their mean."""
+    params = {"numTrees": 10, "bootstrap": False, "featureSubsetStrategy": "all"}
     return _group_predictions(group_tree(spark, folder, "forest", maxDepth=5, **params))
 
 
@@ -391,7 +391,8 @@ def tree_majority(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("forest_majority", _majority_sql("o_orderstatus"))
 def forest_majority(spark: SparkSession, folder: str) -> DataFrame:
-    params = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    """The vote of ten trees that are all the same."""
+    params = {"numTrees": 10, "bootstrap": False, "featureSubsetStrategy": "all"}
     return _group_majority(spark, folder, "forest", "status", **params)
 
 
@@ -815,6 +816,103 @@ def loss_regression_gbt(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_all(run.metrics(), 4, "mse", "rmse", "mae", "r2", "explained_variance")
 
 
+def _priority_run(spark: SparkSession, folder: str) -> jobs.RegressionRun:
+    """The whole regression job where its answer is known: one useful category, trees on all rows."""
+    orders = read_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderpriority").alias("cat1"),
+        F.lit(1.0).alias("cont1"),
+        F.col("o_totalprice").alias("loss"),
+    )
+    return jobs.regress_table(
+        jobs.prepare_table(orders)[0],
+        grid={"numTrees": (3, 6), "maxDepth": (5,)},
+        split=F.when(F.col("id") % 10 < 7, "train").otherwise("validation"),
+        fold=(F.col("id") % 3).cast("int"),
+        bootstrap=False,
+        featureSubsetStrategy="all",
+    )
+
+
+@query(
+    "loss_regression_exact",
+    """WITH d AS (SELECT CASE WHEN o_orderkey % 10 < 7 THEN 'train' ELSE 'validation' END AS part,
+                         o_orderpriority AS g, o_totalprice AS y FROM orders),
+         m AS (SELECT g, avg(y) AS p FROM d WHERE part = 'train' GROUP BY 1)
+       SELECT part, round(sqrt(avg((y - p) * (y - p))), 2) + 0.0 AS rmse, round(avg(abs(y - p)), 2) + 0.0 AS mae,
+              round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2
+       FROM d JOIN m USING (g) GROUP BY 1""",
+)
+def loss_regression_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors of the group means of the training part, on both parts."""
+    found = _priority_run(spark, folder).metrics()
+    return found.select(
+        "part", rounded("rmse", 2).alias("rmse"), rounded("mae", 2).alias("mae"), rounded("r2", 6).alias("r2")
+    )
+
+
+@query(
+    "loss_regression_cv_exact",
+    """WITH d AS (SELECT o_orderkey % 3 AS fold, o_orderpriority AS g, o_totalprice AS y FROM orders WHERE o_orderkey % 10 < 7),
+         m AS (SELECT f.fold, g, avg(y) AS p FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY 1, 2),
+         e AS (SELECT d.fold, sqrt(avg((y - p) * (y - p))) AS rmse FROM d JOIN m USING (fold, g) GROUP BY 1)
+       SELECT "numTrees", 5.0::DOUBLE AS "maxDepth", round(avg(rmse), 2) + 0.0 AS metric
+       FROM e, (VALUES (3.0::DOUBLE), (6.0::DOUBLE)) v("numTrees") GROUP BY 1""",
+)
+def loss_regression_cv_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Three-fold error of each point of the job's grid."""
+    found = _priority_run(spark, folder).search_metrics()
+    return found.select("numTrees", "maxDepth", rounded("metric", 2).alias("metric"))
+
+
+@query(
+    "feature_importances_exact",
+    "SELECT * FROM (VALUES ('idx_cat1', 1.0::DOUBLE), ('cont1', 0.0::DOUBLE)) v(feature, importance)",
+)
+def feature_importances_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The only useful column has all the importance."""
+    return _priority_run(spark, folder).importances()
+
+
+def _mostly_right(scored: DataFrame) -> DataFrame:
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), (right > 0.95).alias("mostly_right"))
+
+
+def _language_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all documents, with one more token that tells the label, 20 times over."""
+    labelled = inputs.topics(spark, folder).withColumn("label", prefix_label("topic", "en"))
+    told = F.repeat(F.when(F.col("label") == 1, "insular ").otherwise("continental "), 20)
+    return jobs.text_tokens(labelled.withColumn("text", F.concat(told, "text")))
+
+
+@query("text_classifier_accuracy", "SELECT count(*) AS n, true AS mostly_right FROM documents WHERE doc_id % 10 >= 8")
+def text_classifier_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """One token decides the label, so the text job errs on a few very long documents at most."""
+    rows = _language_tokens(spark, folder)
+    model = jobs.classify_text(rows.where("id % 10 < 8"))
+    return _mostly_right(model.transform(rows.where("id % 10 >= 8")))
+
+
+@query(
+    "label_unlabelled",
+    "SELECT count(*) AS n, true AS mostly_right FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+)
+def label_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    """The small text job: search hash size and penalty on the labelled documents, score all others."""
+    rows = _language_tokens(spark, folder).withColumnRenamed("id", "doc_id")
+    known = read_table(spark, folder, "labels").select("doc_id").distinct()
+    pipeline = jobs.text_pipeline()
+    hashing, _, logistic = pipeline.getStages()
+    grid = tuning.param_grid({hashing.numFeatures: (100, 1_000, 10_000), logistic.regParam: (0.1, 0.01)})
+    train = rows.join(known, "doc_id", "left_semi").withColumn("fold", (F.col("doc_id") % 2).cast("int"))
+    model = tuning.cross_validate(
+        pipeline, grid, evaluate.auc_evaluator(), train.select("filtered", "label", "fold"), folds=2
+    )
+    others = rows.join(known, "doc_id", "left_anti")
+    return _mostly_right(model.transform(others))
+
+
 @query(
     "param_grid_cv",
     """WITH d AS (SELECT o_orderkey % 3 AS fold, o_orderpriority AS g, o_totalprice AS y FROM orders),
