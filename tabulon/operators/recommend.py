@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.ordering import dense_ids
@@ -15,8 +15,6 @@ from tabulon.operators.tables import root_mean_square, squared_errors
 from tabulon.session import held, shared_folder
 
 _INT_MAX = 2**31 - 1
-# New users are scored in batches of this size: their factors travel inside the plan.
-USERS_PER_PASS = 500
 
 
 @dataclass(frozen=True)
@@ -134,44 +132,74 @@ def search_rank(
 
 
 def score_users(recommender: Recommender, items: DataFrame, users: Sequence[int]) -> DataFrame:
-    """``user_id, <item columns>, score`` of every given item for a few users.
+    """``user_id, <item columns>, score`` of every given item for a handful of users.
 
-    The users' factors are a handful of numbers, so they travel inside the plan
-    and the items are scored where they lie: one pass, no pair table, no shuffle
-    on a user id that all rows share. Longer user lists take several passes.
+    The users' factors travel inside the plan and the items are scored where they
+    lie. For many users see :func:`top_items`, which makes no row per pair.
     """
-    passes = [users[i : i + USERS_PER_PASS] for i in range(0, len(users), USERS_PER_PASS)]
     factors = recommender.item_factors().join(items, "item_id")
-    known = recommender.user_factors()
-    scored = []
-    for batch in passes:
-        found = known.where(F.col("user_id").isin([int(u) for u in batch])).collect()
-        if not found:
-            continue
-        taste = F.array(
-            *[
-                F.struct(
-                    F.lit(row["user_id"]).cast("long").alias("user_id"),
-                    F.array(*[F.lit(float(v)) for v in row["features"]]).alias("taste"),
-                )
-                for row in found
-            ]
-        )
-        product = F.aggregate(
-            F.zip_with("features", "taste", lambda a, b: a.cast("double") * b),
-            F.lit(0.0),
-            lambda total, part: total + part,
-        )
-        scored.append(
-            factors.select(*items.columns, "features", F.inline(taste)).select(
-                "user_id", *items.columns, product.alias("score")
-            )
-        )
-    if not scored:
+    found = recommender.user_factors().where(F.col("user_id").isin([int(u) for u in users])).collect()
+    if not found:
         return items.select(F.lit(None).cast("long").alias("user_id"), "*").limit(0).withColumn(
             "score", F.lit(0.0)
         )
-    result = scored[0]
-    for part in scored[1:]:
-        result = result.unionByName(part)
-    return result
+    tastes = [
+        F.struct(
+            F.lit(row["user_id"]).cast("long").alias("user_id"),
+            F.array(*[F.lit(float(v)) for v in row["features"]]).alias("taste"),
+        )
+        for row in found
+    ]
+    scored = factors.select(*items.columns, "features", F.inline(F.array(*tastes)))
+    return scored.select("user_id", *items.columns, _product("features", "taste").alias("score"))
+
+
+def _product(one: Column | str, two: Column | str) -> Column:
+    parts = F.zip_with(one, two, lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part)
+
+
+def top_items(
+    recommender: Recommender,
+    items: DataFrame,
+    users: DataFrame,
+    rated: DataFrame,
+    k: int = 25,
+    digits: int = 6,
+    blocks: int = 16,
+) -> DataFrame:
+    """``user_id, <item columns>, score``: candidates for the ``k`` best items of each user.
+
+    The item factors are packed into ``blocks`` arrays (more blocks, less memory per
+    row). A user meets each block once and takes its ``k`` best items that the user
+    has not rated inside one expression, so a user brings at most ``k`` rows per
+    block and there is no row per pair of user and item. Scores equal to ``digits``
+    places rank by item. Users without a factor are left out.
+    """
+    packed = (
+        recommender.item_factors()
+        .join(items, "item_id")
+        .groupBy(F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block"))
+        .agg(F.collect_list(F.struct(*items.columns, "features")).alias("held"))
+    )
+    known = rated.groupBy("user_id").agg(F.collect_set(F.col("item_id").cast("long")).alias("rated"))
+    asked = (
+        recommender.user_factors()
+        .join(users.select("user_id").distinct(), "user_id", "left_semi")
+        .join(known, "user_id", "left")
+        .select(
+            "user_id",
+            F.col("features").alias("taste"),
+            F.coalesce("rated", F.expr("cast(array() as array<bigint>)")).alias("rated"),
+            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        )
+    )
+    fresh = F.filter("held", lambda item: ~F.array_contains("rated", item["item_id"].cast("long")))
+
+    def placed(item: Column) -> Column:
+        score = _product(item["features"], F.col("taste"))
+        return F.struct((-F.round(score, digits)).alias("low"), item["item_id"].alias("id"), score.alias("score"), item.alias("item"))
+
+    best = F.slice(F.sort_array(F.transform(fresh, placed)), 1, k)
+    found = asked.join(packed, "block").select("user_id", F.inline(best))
+    return found.select("user_id", *[F.col("item")[c].alias(c) for c in items.columns], "score")

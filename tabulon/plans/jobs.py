@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators import evaluate, features, supervised, tables, tuning
-from tabulon.operators.recommend import Recommender, fit_als, score_users
+from tabulon.operators.recommend import Recommender, fit_als, top_items
 from tabulon.session import held
 
 # --- tabular regression ------------------------------------------------------
@@ -171,7 +171,7 @@ def recommend(
     ratings: DataFrame,
     items: DataFrame,
     new_ratings: DataFrame,
-    users: Sequence[int],
+    users: DataFrame | Sequence[int],
     k: int = 25,
     min_count: int = 25,
     digits: int = 6,
@@ -195,7 +195,7 @@ def recommend_with(
     ratings: DataFrame,
     items: DataFrame,
     new_ratings: DataFrame,
-    users: Sequence[int],
+    users: DataFrame | Sequence[int],
     k: int = 25,
     min_count: int = 25,
     digits: int = 6,
@@ -204,8 +204,9 @@ def recommend_with(
     eligible = items.select("item_id", "title").join(
         supported.select("item_id", "n_ratings"), "item_id"
     )
-    scored = score_users(fitted, eligible, users)
-    fresh = scored.join(new_ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    return tables.top_per_user(fresh, k, digits).select(
+    if not isinstance(users, DataFrame):
+        users = ratings.sparkSession.createDataFrame([(int(u),) for u in users], "user_id long")
+    best = top_items(fitted, eligible, users, new_ratings, k, digits)
+    return tables.top_per_user(best, k, digits).select(
         "user_id", "place", "item_id", "title", "score", "n_ratings"
     )

@@ -333,9 +333,21 @@ def test_rank_search_marks_one_best(spark):
     assert [r["rank"] for r in found] == [1, 2] and sum(r["best"] for r in found) == 1
 
 
-@pytest.mark.parametrize("per_pass", [1, 500])
-def test_recommendations_for_several_users(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(recommend, "USERS_PER_PASS", per_pass)
+def test_many_users_make_no_pair_rows(spark):
+    fitted = recommend.fit_als(rank_one(spark), **EXACT)
+    items = spark.range(25).select(F.col("id").alias("item_id"))
+    users = fitted.user_factors().select("user_id")
+    rated = spark.createDataFrame([], "user_id long, item_id long")
+    found = recommend.top_items(fitted, items, users, rated, k=3, blocks=2)
+    assert found.count() == 2 * 3 * users.count()
+    pairs = users.crossJoin(items).select("user_id", "item_id")
+    best = tables.top_per_user(fitted.predict(pairs).withColumnRenamed("prediction", "score"), 3, 2)
+    mine = tables.top_per_user(found, 3, 2)
+    key = lambda df: sorted((r["user_id"], r["place"], r["item_id"]) for r in df.collect())
+    assert key(mine) == key(best)
+
+
+def test_recommendations_for_several_users(spark):
     ratings = rank_one(spark)
     items = spark.createDataFrame([(i, f"t{i}") for i in range(25)], "item_id long, title string")
     new = spark.createDataFrame(
