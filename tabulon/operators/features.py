@@ -239,9 +239,11 @@ def vector_terms(df: DataFrame, column: str, key: str, vocabulary: Sequence[str]
 def count_terms(df: DataFrame, key: str, column: str) -> DataFrame:
     """``key, term, value``: term counts per document over all terms, without a vocabulary.
 
-    Unlike a vector over a vocabulary this has no limit on the number of terms.
+    Unlike a vector over a vocabulary this has no limit on the number of terms. The
+    outer explode keeps Spark from testing the token array below the exchange, which
+    would take the text apart once more.
     """
-    terms = df.select(key, F.explode(column).alias("term"))
+    terms = df.select(key, F.explode_outer(column).alias("term")).where(F.col("term").isNotNull())
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("value"))
 
 
@@ -258,7 +260,8 @@ def weigh_terms(
     counts = count_terms(df, key, column)
     frequency = (
         counts.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
+        # Asking for the value keeps both uses of the counts alike, so their exchange is reused.
+        .agg(F.count_if(F.col("value") > 0).alias("df"))
         .where(F.col("df") >= min_doc_freq)
     )
     weight = F.log((F.lit(documents) + 1.0) / (F.col("df") + 1.0))
