@@ -24,7 +24,7 @@ import numpy as np
 HEADER = struct.Struct("<4sIIIII")
 MARK = b"TRC1"
 
-LANES, LANE_IDS = 4096, 256
+LANES, LANE_IDS = 8192, 128
 BITS = 24
 TOTAL = np.uint64(1 << BITS)
 SHIFT = np.uint64(BITS)
@@ -36,6 +36,11 @@ ORDER_0_SHARE = TOTAL >> np.uint64(4)  # order 0 keeps at least this much of the
 LEAST_WIDTH = 16  # so that an id keeps a width within that share
 SLOT_BITS = 18
 REBUILD = 16
+FIND_BITS = 8  # values of order 0 that share an entry of the table where a search begins
+
+
+#: Confidence after a wrong prediction (halved; 1 for the id that takes the place of a doubtful one) and after a right one.
+_NEXT_TRUST = np.array([max(1, t >> 1) for t in range(LEVELS)] + [min(t + 1, LEVELS - 1) for t in range(LEVELS)], np.uint8)
 
 
 class _Models:
@@ -47,20 +52,33 @@ class _Models:
         self.fresh: list[np.ndarray] = []
         self.named = [np.full(alphabet + 1, alphabet, np.int32), np.full(1 << SLOT_BITS, alphabet, np.int32)]
         self.trust = [np.zeros(len(x), np.uint8) for x in self.named]
-        self.seen, self.right2, self.right1 = (np.zeros(2 * LEVELS * LEVELS, np.int64) for _ in range(3))
+        self.outcomes = np.zeros((2 * LEVELS * LEVELS, 3), np.int64)  # neither, order 2, only order 1 was right
         self.last = np.full(lanes, alphabet, np.int64)
         self.before = self.last.copy()
         self.step = 0
         self._rebuild()
 
     def _rebuild(self) -> None:
-        for ids in self.fresh:
-            self.counts += 32 * np.bincount(ids, minlength=self.alphabet)
+        if self.fresh:
+            self.counts += 32 * np.bincount(np.concatenate(self.fresh), minlength=self.alphabet)
         self.fresh = []
         reached = np.concatenate([[0], np.cumsum(self.counts)])
         free = int(TOTAL) - LEAST_WIDTH * self.alphabet
+        self.starts = None
         self.cumulated = (reached * free // reached[-1] + LEAST_WIDTH * np.arange(self.alphabet + 1)).astype(np.uint64)
 
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The id of order 0 whose part of the interval holds each value."""
+        if self.starts is None:
+            steps = np.arange(0, int(TOTAL), 1 << FIND_BITS, dtype=np.uint64)
+            self.starts = (np.searchsorted(self.cumulated, steps, "right") - 1).astype(np.int32)
+        found = self.starts[value >> np.uint64(FIND_BITS)]
+        late = np.flatnonzero(self.cumulated[found + 1] <= value)
+        while len(late):
+            found[late] += 1
+            late = late[self.cumulated[found[late] + 1] <= value[late]]
+        return found
+
     def predict(self, lanes: int) -> None:
         """For the first ``lanes`` lanes: the ids named by order 1 and 2, and their shares."""
         last, before = self.last[:lanes], self.before[:lanes]
@@ -68,29 +86,27 @@ class _Models:
         self.slots = (last, slot)
         self.id1, self.id2 = self.named[0][last], self.named[1][slot]
         self.trust1, self.trust2 = self.trust[0][last], self.trust[1][slot]
-        state = self.trust2.astype(np.int64) * LEVELS + self.trust1
-        state[self.id1 == self.id2] += LEVELS * LEVELS
+        state = (self.id1 == self.id2).astype(np.int16) * (LEVELS * LEVELS)
+        state += self.trust2 * np.int16(LEVELS)
+        state += self.trust1
         self.state = state
         free = int(TOTAL - ORDER_0_SHARE)
-        part = 2 * self.seen + 3
-        share2 = ((2 * self.right2 + 1) * free // part).astype(np.uint64)
-        share1 = ((2 * self.right1 + 1) * free // part).astype(np.uint64)
-        self.share2, self.share1 = share2[state], share1[state]
-        self.both = self.share2 + self.share1
+        part = 2 * self.outcomes.sum(1) + 3
+        shares = ((2 * self.outcomes[:, 1:] + 1) * free // part[:, None]).astype(np.uint64)
+        self.share2, self.both = shares[:, 0][state], shares.sum(1)[state]
         self.rest = TOTAL - self.both
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``hit1``: order 1 was right and order 2 was not."""
-        size = len(self.seen)
-        self.seen += np.bincount(self.state, minlength=size)
-        self.right2 += np.bincount(self.state[hit2], minlength=size)
-        self.right1 += np.bincount(self.state[hit1], minlength=size)
+        outcome = self.state * np.int16(3)
+        outcome += hit2
+        outcome += hit1 * np.int16(2)
+        self.outcomes += np.bincount(outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
         for k, (name, trust) in enumerate(((self.id1, self.trust1), (self.id2, self.trust2))):
             right = name == ids
-            given_up = ~right & (trust < 2)
             # Of lanes in the same context the last one counts, in both directions.
-            self.named[k][self.slots[k]] = np.where(given_up, ids, name)
-            self.trust[k][self.slots[k]] = np.where(right, np.minimum(trust + 1, LEVELS - 1), np.where(given_up, 1, trust >> 1))
+            self.named[k][self.slots[k]] = np.where(right | (trust >= 2), name, ids)
+            self.trust[k][self.slots[k]] = _NEXT_TRUST[right * np.uint8(LEVELS) + trust]
         lanes = len(ids)
         self.before[:lanes] = self.last[:lanes]
         self.last[:lanes] = ids
@@ -151,12 +167,14 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
         x, lo, sz = steps[t, :active], low[:active], size[:active]
         models.predict(active)
         hit2 = (models.id2 == x) & (models.share2 > 0)
-        hit1 = (models.id1 == x) & ~hit2 & (models.share1 > 0)
+        hit1 = (models.id1 == x) & ~hit2 & (models.both > models.share2)
         start = models.cumulated[x] * models.rest >> SHIFT
         width = (models.cumulated[x + 1] * models.rest >> SHIFT) - start
         start += models.both
-        start[hit1], width[hit1] = models.share2[hit1], models.share1[hit1]
-        start[hit2], width[hit2] = 0, models.share2[hit2]
+        start = np.where(hit1, models.share2, start)
+        start[hit2] = 0
+        width = np.where(hit1, models.both - models.share2, width)
+        width = np.where(hit2, models.share2, width)
         _narrow(lo, sz, start, width)
         for out in _full(lo, sz):
             if used[out].max() >= words.shape[1] - 4:
@@ -196,12 +214,12 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, alphabet: int) -> np
         named = value < models.both
         hit1 = named & ~hit2
         x = np.where(hit2, models.id2, models.id1)
-        start, width = np.where(hit2, 0, models.share2).astype(np.uint64), np.where(hit2, models.share2, models.share1)
+        start, width = np.where(hit2, 0, models.share2).astype(np.uint64), np.where(hit2, models.share2, models.both - models.share2)
         other = np.flatnonzero(~named)
         if len(other):
             rest = models.rest[other]
             inside = value[other] - models.both[other] + ONE
-            found = np.searchsorted(models.cumulated, (inside * TOTAL - ONE) // rest, "right") - 1
+            found = models.find((inside * TOTAL - ONE) // rest)
             x[other] = found
             begin = models.cumulated[found] * rest >> SHIFT
             width[other] = (models.cumulated[found + 1] * rest >> SHIFT) - begin

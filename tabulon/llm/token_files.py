@@ -21,7 +21,7 @@ from tabulon.llm.coder import read_block, write_block
 from tabulon.llm.common import by_batch, offsets_before, sub_batches
 from tabulon.llm.tokens import encoder
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 FILE_SCHEMA = "part long, place long, start long, docs long, ids long, block binary"
 DIGESTS = "doc_id long, part long, start_in_part long, n_tokens long, ids_crc32 long"
 

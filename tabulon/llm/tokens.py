@@ -109,11 +109,17 @@ class UnitEncoder:
         ends = self.starts[-1] + np.cumsum(np.asarray(lengths, np.int64))
         self.starts = np.concatenate([self.starts, ends])
 
-    def _units(self, text: str) -> list[int]:
-        if not self.keeps_blanks:
-            return list(map(self.later.__getitem__, text.replace("\n", " ").split(" ")))
-        parts = text.split(" ") if _ODD_BLANK.search(text) is None else _BEFORE_WORD.split(text)
-        return [self.first[parts[0]], *map(self.later.__getitem__, parts[1:])]
+    def _units(self, text: str) -> np.ndarray:
+        if self.keeps_blanks:
+            parts = text.split(" ") if _ODD_BLANK.search(text) is None else _BEFORE_WORD.split(text)
+            head = self.first[parts.pop(0)]
+        else:
+            parts = text.replace("\n", " ").split(" ")
+            head = self.later[parts.pop(0)]
+        numbers = np.empty(len(parts) + 1, np.int32)
+        numbers[0] = head
+        numbers[1:] = np.fromiter(map(self.later.__getitem__, parts), np.int32, len(parts))
+        return numbers
 
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text.
@@ -126,7 +132,7 @@ class UnitEncoder:
         for k, text in enumerate(texts):
             found = self._units(text or "")
             sizes[k] = len(found)
-            numbers.append(np.array(found, np.int32))
+            numbers.append(found)
         if self.pending:
             self._flush()
         flat = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
