@@ -254,8 +254,8 @@ def weigh_terms(
 
     The text is taken apart once: the counts per document and term are also what
     the frequencies are counted from. They shrink to a row per term before they
-    are shuffled and meet the counts in a join on the term, where a term of most
-    documents is split by the adaptive skew join.
+    are shuffled and meet the counts in a join on the term, to which a term brings
+    one row per document that has it.
     """
     counts = count_terms(df, key, column)
     frequency = (

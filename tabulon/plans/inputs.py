@@ -51,9 +51,9 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def new_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    """The new user rates every 97th part, by its size."""
+    """The new user rates every 97th part, by its size; the user's number is minus that remainder."""
     return read_table(spark, folder, "part").where("p_partkey % 97 = 1").select(
-        F.lit(NEW_USER).cast("long").alias("user_id"),
+        (-(F.col("p_partkey") % 97)).cast("long").alias("user_id"),
         F.col("p_partkey").alias("item_id"),
         (1 + F.col("p_size") % 10).cast("double").alias("rating"),
     )

@@ -83,3 +83,41 @@ def test_udf_form_is_batched(spark, folder):
 def test_tokens_read_two_columns(spark, folder):
     words = features.tokenize(read_table(spark, folder, "documents"), "text").select("doc_id", "words")
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan(words)
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_term_weights_take_the_text_apart_once(spark, folder):
+    text = final_plan(QUERIES["tf_idf"](spark, folder))
+    assert text.count("FileScan") == 1 and text.count("Generate explode") == 1
+
+
+def test_titles_and_counts_read_the_lines_once(spark, folder):
+    text = final_plan(QUERIES["item_title_counts"](spark, folder))
+    assert len(re.findall(r"FileScan parquet \[l_", text)) == 1
+
+
+def test_a_hot_label_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        label = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id")))
+        rows = spark.range(9000).repartition(8).select("id", label.alias("label"))
+        indexed = features.index_by_join(rows, "label", "i")
+        assert "skew=true" in final_plan(indexed)
+        assert indexed.where("label = 'hot'").agg(F.count("i"), F.max("i")).first() == (3000, 0.0)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
