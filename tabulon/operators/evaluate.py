@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     ClusteringEvaluator,
-    MulticlassClassificationEvaluator,
     RegressionEvaluator,
 )
 from pyspark.sql import DataFrame
@@ -51,14 +50,6 @@ def auc_evaluator(label: str = "label", score: str = "rawPrediction") -> BinaryC
     )
 
 
-def accuracy_evaluator(
-    label: str = "label", prediction: str = "prediction"
-) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(
-        labelCol=label, predictionCol=prediction, metricName="accuracy"
-    )
-
-
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Share of rows predicted right, and the test error ``1 - accuracy``."""
     right = F.avg((F.col(label) == F.col(prediction)).cast("double"))

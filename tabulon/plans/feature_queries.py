@@ -396,17 +396,15 @@ def word2vec_mean_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "sql_transform",
-    """SELECT l_orderkey, l_linenumber, round(l_quantity + l_tax, 6) + 0.0 AS v3, round(l_quantity * l_tax, 6) + 0.0 AS v4
-       FROM lineitem""",
+    """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) + 0.0 AS revenue
+       FROM lineitem WHERE l_quantity > 0""",
 )
 def sql_transform(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder, "l_quantity", "l_tax").withColumnsRenamed(
-        {"l_quantity": "v1", "l_tax": "v2"}
-    )
-    done = features.sql_stage(lines, "SELECT *, (v1 + v2) AS v3, (v1 * v2) AS v4 FROM __THIS__")
-    return done.select(
-        "l_orderkey", "l_linenumber", rounded("v3", 6).alias("v3"), rounded("v4", 6).alias("v4")
-    )
+    lines = _lines(spark, folder, "l_quantity", "l_extendedprice", "l_discount")
+    statement = """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS revenue
+                   FROM __THIS__ WHERE l_quantity > 0"""
+    done = features.sql_stage(lines, statement)
+    return done.withColumn("revenue", rounded("revenue", 6))
 
 
 @query(

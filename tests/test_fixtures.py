@@ -265,11 +265,6 @@ def test_small_text_search(spark):
     assert len(table) == 4 and sum(r["best"] for r in table) == 1
 
 
-def test_grid_table_is_the_product(spark):
-    table = tuning.grid_table(spark, {"rounds": (3, 7), "rate": (0.5,)})
-    assert sorted(map(tuple, table.select("rounds", "rate").collect())) == [(3.0, 0.5), (7.0, 0.5)]
-
-
 def test_text_job_learns(spark):
     train = spark.createDataFrame(SEA, "id long, text string, label double")
     model = jobs.classify_text(jobs.text_tokens(train), num_features=512)
