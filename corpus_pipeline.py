@@ -32,8 +32,8 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    """One document of each group of near duplicates: those that share 80 % or more of their shingles."""
+    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
 
 

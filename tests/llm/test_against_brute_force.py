@@ -208,6 +208,18 @@ def test_pii_base_patterns():
     assert [pii.KINDS[k] for k, _, _ in found] == ["phone", "card"]
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    words = [f"w{i}" for i in range(104)]  # 100 shingles
+    changed = [*words[:-10], *(f"x{i}" for i in range(10))]  # shares 90 of 110: 0.818
+    other = [*words[:-13], *(f"y{i}" for i in range(13))]  # shares 87 of 113 with the first: 0.770
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(f"z{i}" for i in range(99)))]
+    for gone, more in ((True, changed), (False, other)):
+        rows[1] = (2, " ".join(more))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' lang", "'a' source", "0L n_chars")
+        kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_near(spark, docs, "").collect()}
+        assert kept == ({1, 3} if gone else {1, 2, 3})
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     sizes = [docs.count()]
