@@ -2,9 +2,10 @@
 
 A vector is represented by its ``prefix`` nearest pivots in order. It is posted in
 the inverted file of each of them, together with its order. A query looks into the
-files of its own pivots, ranks what it finds by the footrule distance between the
+files of its own pivots, measures what it finds by the footrule distance between the
 two orders (a pivot outside an order counts as the place after its end), and reranks all
 within ``max_footrule`` by their inner product. No number of candidates is limited.
+The prefix grows with the number of pivots, so that true neighbours go on sharing files.
 """
 
 from __future__ import annotations
@@ -138,6 +139,11 @@ def _post(vectors: DataFrame, queries: DataFrame, files: Column) -> DataFrame:
     return data.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
 
 
+def prefix_for(pivots: int) -> int:
+    """Places of an order: 16 up to a hundred pivots, and then as the fourth root of their number."""
+    return max(16, round(16 * (pivots / 100) ** 0.25))
+
+
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -145,7 +151,7 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 20,
-    prefix: int = 16,
+    prefix: int | None = None,
     max_footrule: int | None = None,
     seed: int = 11,
 ) -> DataFrame:
@@ -154,7 +160,8 @@ def nearest(
     Returns query_id, rank (from 1), vec_id, score (inner product in double precision),
     nearest first, ties to the smaller id, the query's own row left out. Pivots are a
     sample of about the square root of the number of vectors, the only thing that is
-    fitted on a sample and broadcast; every vector is posted. A file is
+    fitted on a sample and broadcast; every vector is posted. With a fixed prefix ever fewer
+    neighbours share a pivot as the pivots grow in number; ``prefix_for`` is used unless it is given. A file is
     cut into blocks of about ``BLOCK`` vectors, so that a hot pivot has many tasks. Of equal
     vectors only the ``k`` + 1 smallest ids can be among the answers, so only they are posted.
     A query that found fewer than ``k`` is asked again against all vectors, in blocks.
@@ -175,9 +182,10 @@ def nearest(
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     own = own.withColumn("same", same).where(F.col("same") <= k + 1).drop("same")
     asked = asked.where(F.size("vector") == dimension).distinct()
-    sampled = own.orderBy(F.xxhash64(F.lit(seed), "vector"), "vec_id").limit(max(prefix, math.isqrt(n)))
+    wanted = max(prefix or 16, math.isqrt(n))
+    sampled = own.orderBy(F.xxhash64(F.lit(seed), "vector"), "vec_id").limit(wanted)
     pivots = np.array([row["vector"] for row in sampled.select("vector").collect()])
-    prefix = min(prefix, len(pivots))
+    prefix = min(prefix or prefix_for(len(pivots)), len(pivots))
     if max_footrule is None:
         max_footrule = prefix * (prefix + 1) - prefix // 2
     own, asked = (stored(_with_order(x, pivots, prefix), "orders") for x in (own, asked))

@@ -131,6 +131,23 @@ def test_neighbours(spark, folder):
     assert hits >= 0.9 * total
 
 
+def test_recall_does_not_fall_with_the_number_of_pivots():
+    draw = np.random.default_rng(4)
+    vectors = draw.standard_normal((200_000, 64), np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    pivots = vectors[draw.choice(len(vectors), 447, replace=False)]
+    prefix = neighbours.prefix_for(len(pivots))
+    places = np.concatenate([np.argsort(-(part @ pivots.T), 1)[:, :prefix] for part in np.split(vectors, 20)])
+    hits = 0
+    for q in range(50):
+        best = np.argsort(-(vectors @ vectors[q]))[1:21]
+        rank = np.full(len(pivots), prefix + 1)
+        rank[places[q]] = np.arange(1, prefix + 1)
+        shared = 2 * (prefix + 1 - np.maximum(rank[places[best]], np.arange(1, prefix + 1))).sum(1)
+        hits += (prefix * (prefix + 1) - shared <= prefix * (prefix + 1) - prefix // 2).sum()
+    assert hits >= 0.97 * 50 * 20  # 0.93 with a prefix of 16
+
+
 def test_cached_encoding_equals_the_library(documents):
     texts = [r["text"] for r in documents.limit(80).collect()]
     texts += ["", None, "a  b", " a", "a ", " \n b", "x\t y", "a<|endoftext|> b", "don't  I'll\n\n 12 34...  x", "Σας ΣΑΣ İ", "a\x1cb \x1c c", "É ̈x"]
