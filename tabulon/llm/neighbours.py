@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import by_batch, stored
 
-#: Vectors of one file that a task compares at a time.
+#: Vectors, and queries, of one file that a task compares at a time.
 BLOCK = 4096
 ALL = -1  # the file that holds every vector
 FOUND = "query_id long, vec_id long, score double"
@@ -57,9 +57,12 @@ def _with_order(vectors: DataFrame, pivots: np.ndarray, prefix: int) -> DataFram
 
 def best_of_block(
     ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-    query_places: np.ndarray, k: int, max_footrule: int,
+    query_places: np.ndarray, alone: np.ndarray, k: int, max_footrule: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` best of one block of a file for each query: query ids, ids and scores."""
+    """The ``k`` best of one block of a file for each query: query ids, ids and scores.
+
+    A query that is ``alone`` does not find its own id.
+    """
     prefix = places.shape[1]
     used, column = np.unique(query_places, return_inverse=True)
     column = column.reshape(query_places.shape)
@@ -71,7 +74,7 @@ def best_of_block(
     out = [[], [], []]
     for q in range(len(query_ids)):
         shared = 2 * (prefix + 1 - np.maximum(table[:, column[q]], own)).sum(1)
-        found = np.flatnonzero((prefix * (prefix + 1) - shared <= max_footrule) & (ids != query_ids[q]))
+        found = np.flatnonzero((prefix * (prefix + 1) - shared <= max_footrule) & (~alone[q] | (ids != query_ids[q])))
         if len(found) > k:
             values = near[q, found]
             found = found[values >= np.partition(values, len(found) - k)[len(found) - k] - 1e-9]
@@ -84,59 +87,83 @@ def best_of_block(
 
 
 def _search(posted: DataFrame, k: int, max_footrule: int) -> DataFrame:
-    """Compare the vectors and queries that share a file and block; both are rows of ``posted``."""
+    """Compare the vectors and queries that share a file and both blocks; both are rows of ``posted``."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, parts = None, []
 
         def found() -> Iterator[pa.RecordBatch]:
-            asks, ids, vectors, places = (np.concatenate(x) for x in zip(*parts))
+            asks, ids, alone, vectors, places = (np.concatenate(x) for x in zip(*parts))
             if asks.all() or not asks.any():
                 return
             columns = best_of_block(
-                ids[~asks], vectors[~asks], places[~asks], ids[asks], vectors[asks], places[asks], k, max_footrule
+                ids[~asks], vectors[~asks], places[~asks], ids[asks], vectors[asks], places[asks], alone[asks], k,
+                max_footrule,
             )
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            file, block = (batch.column(i).to_numpy() for i in (0, 1))
+            keys = np.stack([batch.column(i).to_numpy() for i in (0, 1, 2)], 1)
             rest = (
-                batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(),
-                _matrix(batch.column(4)), _matrix(batch.column(5)),
+                batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(),
+                batch.column(5).to_numpy(zero_copy_only=False), _matrix(batch.column(6)), _matrix(batch.column(7)),
             )
-            cuts = [0, *(np.flatnonzero((np.diff(file) != 0) | (np.diff(block) != 0)) + 1), len(file)]
+            cuts = [0, *(np.flatnonzero(np.diff(keys, axis=0).any(1)) + 1), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
-                if (file[a], block[a]) != group:
+                if tuple(keys[a]) != group:
                     if parts:
                         yield from found()
-                    group, parts = (file[a], block[a]), []
+                    group, parts = tuple(keys[a]), []
                 parts.append(tuple(x[a:b] for x in rest))
         if parts:
             yield from found()
 
     return (
-        posted.select("file", "block", "asks", "vec_id", "vector", "places")
-        .repartition("file", "block")
-        .sortWithinPartitions("file", "block", "asks", "vec_id")
+        posted.select("file", "block", "query_block", "asks", "vec_id", "alone", "vector", "places")
+        .repartition("file", "block", "query_block")
+        .sortWithinPartitions("file", "block", "query_block", "asks", "vec_id")
         .transform(by_batch, search, FOUND)
     )
 
 
+def _blocks(entries: DataFrame, out: str) -> DataFrame:
+    """The number of blocks of each file."""
+    sizes = stored(entries.groupBy("file").agg(F.count(F.lit(1)).alias("n")), "files")
+    return sizes.select("file", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias(out))
+
+
 def _post(vectors: DataFrame, queries: DataFrame, files: Column) -> DataFrame:
-    """Rows of every file: its vectors dealt into blocks, and its queries in each of the blocks."""
-    entries = vectors.withColumn("file", F.explode(files))
-    sizes = stored(entries.groupBy("file").agg(F.count(F.lit(1)).alias("n")), "files").select(
-        "file", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks")
-    )
-    data = entries.join(sizes, "file").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    asked = (
-        queries.withColumn("file", F.explode(files))
-        .join(sizes, "file")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    )
-    return data.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
+    """Rows of every file with queries: its vectors and its queries are each dealt into blocks, and each pair of blocks meets."""
+    entries, asked = (x.withColumn("file", F.explode(files)) for x in (vectors, queries))
+    sizes = _blocks(entries, "blocks").join(_blocks(asked, "query_blocks"), "file")
+
+    def dealt(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("vec_id", "vector"), F.col(blocks)).cast("int")
+
+    def each(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    data = entries.join(sizes, "file").withColumn("block", dealt("blocks")).withColumn("query_block", each("query_blocks"))
+    asked = asked.join(sizes, "file").withColumn("block", each("blocks")).withColumn("query_block", dealt("query_blocks"))
+    data = data.withColumn("alone", F.lit(False)).withColumn("asks", F.lit(False))
+    return data.unionByName(asked.withColumn("asks", F.lit(True)))
+
+
+def _distinct_queries(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each query vector once, under its least id, and which query_id each of these (``asked``) stands for.
+
+    An id with several vectors stands for itself only and is searched ``alone``, without its own rows.
+    """
+    times = asked.groupBy("vec_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("vec_id", F.lit(True).alias("alone"))
+    asked = asked.join(times, "vec_id", "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
+    shared = asked.where(~F.col("alone"))
+    least = stored(shared.groupBy("vector").agg(F.min("vec_id").alias("asked")), "distinct-queries")
+    single = asked.where("alone").select("vec_id", "vector", "alone")
+    once = least.select(F.col("asked").alias("vec_id"), "vector", F.lit(False).alias("alone")).unionByName(single)
+    names = shared.join(least, "vector").select("asked", F.col("vec_id").alias("query_id"))
+    return once, names.unionByName(single.select(F.col("vec_id").alias("asked"), F.col("vec_id").alias("query_id")).distinct())
 
 
 def prefix_for(pivots: int) -> int:
@@ -162,9 +189,10 @@ def nearest(
     sample of about the square root of the number of vectors, the only thing that is
     fitted on a sample and broadcast; every vector is posted. With a fixed prefix ever fewer
     neighbours share a pivot as the pivots grow in number; ``prefix_for`` is used unless it is given. A file is
-    cut into blocks of about ``BLOCK`` vectors, so that a hot pivot has many tasks. Of equal
-    vectors only the ``k`` + 1 smallest ids can be among the answers, so only they are posted.
-    A query that found fewer than ``k`` is asked again against all vectors, in blocks.
+    cut into blocks of about ``BLOCK`` vectors and its queries into as large ones, so that a hot pivot
+    has many tasks. Of equal vectors only the ``k`` + 1 smallest ids can be among the answers, so only
+    they are posted. Equal queries are searched once, for ``k`` + 1 answers, and each then drops its own id.
+    A query that found fewer than that is asked again against all vectors, in blocks.
 
     Null or zero vectors, vectors with null or non-finite components and rows without an id take
     no part, nor do vectors of another length than most. Rows with one id and one vector
@@ -181,19 +209,26 @@ def nearest(
     own = own.where(F.size("vector") == dimension).distinct()
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     own = own.withColumn("same", same).where(F.col("same") <= k + 1).drop("same")
-    asked = asked.where(F.size("vector") == dimension).distinct()
+    asked, names = _distinct_queries(stored(asked.where(F.size("vector") == dimension).distinct(), "queries"))
     wanted = max(prefix or 16, math.isqrt(n))
     sampled = own.orderBy(F.xxhash64(F.lit(seed), "vector"), "vec_id").limit(wanted)
     pivots = np.array([row["vector"] for row in sampled.select("vector").collect()])
     prefix = min(prefix or prefix_for(len(pivots)), len(pivots))
     if max_footrule is None:
         max_footrule = prefix * (prefix + 1) - prefix // 2
-    own, asked = (stored(_with_order(x, pivots, prefix), "orders") for x in (own, asked))
-    found = stored(_search(_post(own, asked, F.col("places")), k, max_footrule), "found").distinct()
-    enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    own = stored(_with_order(own, pivots, prefix), "orders")
+    alone = asked.where("alone").select("vec_id").distinct().withColumn("alone", F.lit(True))
+    asked = _with_order(asked.select("vec_id", "vector"), pivots, prefix).join(alone, "vec_id", "left")
+    asked = stored(asked.withColumn("alone", F.coalesce("alone", F.lit(False))), "orders")
+    found = stored(_search(_post(own, asked, F.col("places")), k + 1, max_footrule), "found").distinct()
+    enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k)
     short = asked.join(enough, asked["vec_id"] == enough["query_id"], "left_anti")
     if short.limit(1).count():
-        again = _search(_post(own, short, F.array(F.lit(ALL))), k, prefix * (prefix + 1))
+        again = _search(_post(own, short, F.array(F.lit(ALL))), k + 1, prefix * (prefix + 1))
         found = found.unionByName(again).distinct()
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    by_score = [F.desc("score"), "vec_id"]
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(*by_score))
+    found = found.withColumn("best", best).where(F.col("best") <= k + 1).select(F.col("query_id").alias("asked"), "vec_id", "score")
+    found = found.join(names, "asked").where(F.col("vec_id") != F.col("query_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*by_score))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

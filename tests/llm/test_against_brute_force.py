@@ -131,6 +131,30 @@ def test_neighbours(spark, folder):
     assert hits >= 0.9 * total
 
 
+def test_equal_queries_and_hot_files_stay_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    draw = np.random.default_rng(5)
+    vectors = draw.standard_normal((240, 4)).round(2)
+    vectors[::3] = vectors[0]  # a third of all rows are copies
+    vectors[1:120] += 5  # and many more share their pivots
+    vectors[[3 * k for k in range(40)]] = vectors[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(7, [1.0, 2.0, 3.0, 4.0]), (7, [9.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for r in sorted(neighbours.nearest(df, F.lit(True), k=5, max_footrule=16 * 17).collect()):
+        found[r["query_id"]].append((r["vec_id"], r["score"]))
+    ids, table = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for q in range(240):
+        want = {(int(i), float(s)) for v in table[ids == q] for i, s in zip(ids, (table * v).sum(1)) if i != q}
+        assert found[q] == sorted(want, key=lambda x: (-x[1], x[0]))[:5]
+    own = neighbours.usable(df, "vec_id", "embedding").distinct()
+    asked, names = neighbours._distinct_queries(own)
+    assert asked.count() == 160 + 3 and names.count() == 240
+    posted = neighbours._post(own, asked, F.array(F.lit(neighbours.ALL)))
+    sizes = posted.groupBy("file", "block", "query_block", "asks").count().agg(F.max("count")).first()[0]
+    assert sizes <= 3 * neighbours.BLOCK
+
+
 def test_recall_does_not_fall_with_the_number_of_pivots():
     draw = np.random.default_rng(4)
     vectors = draw.standard_normal((200_000, 64), np.float32)
