@@ -44,6 +44,8 @@ _SHAPES = [
 ]
 _N_SHAPES = len(_SHAPES) + 1
 _DIGIT_STEPS = (1, 3, 5, 9, 13, 20)
+#: Words, with padding, of the stretches that are decoded in step.
+CELLS = 1 << 16
 _N_FEATURES = 3 * (_N_SHAPES + 1) + len(_DIGIT_STEPS) + 1 + 3
 
 #: The labelled table: words inside [kind: ...] are of that kind.
@@ -175,7 +177,27 @@ def train(table: list[tuple[list[str], list[str]]], rounds: int = 300, step: flo
 
 
 def viterbi(sequences: list[np.ndarray], emit: np.ndarray, move: np.ndarray) -> list[np.ndarray]:
-    """The best labels of many sequences of features, all in step."""
+    """The best labels of many sequences of features, those of similar length in step.
+
+    A group holds at most ``CELLS`` words with its padding, or a single sequence.
+    """
+    order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
+    out: list[np.ndarray] = [np.empty(0)] * len(order)
+    at = 0
+    while at < len(order):
+        # At most half of a group is padding: it ends where lengths fall below half of its longest.
+        longest = len(sequences[order[at]])
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * longest <= CELLS and 2 * len(sequences[order[end]]) >= longest:
+            end += 1
+        for k, labels in zip(order[at:end], _in_step([sequences[k] for k in order[at:end]], emit, move)):
+            out[k] = labels
+        at = end
+    return out
+
+
+def _in_step(sequences: list[np.ndarray], emit: np.ndarray, move: np.ndarray) -> list[np.ndarray]:
+    """The best labels of sequences of features, padded to the longest."""
     order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
     lengths = np.array([len(sequences[k]) for k in order])
     n = emit.shape[1]

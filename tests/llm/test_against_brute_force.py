@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -235,6 +236,20 @@ def test_field_on_held_out_rows():
     assert right >= 0.95 * sum(len(want) for _, want in held)
 
 
+def test_a_long_stretch_does_not_pad_the_others():
+    emit, move = pii.train(pii.labelled(pii.EXAMPLES), rounds=3)
+    draw = np.random.default_rng(6)
+    lengths = [6000, *draw.integers(1, 12, 1500).tolist(), 700]
+    features = [draw.integers(0, pii._N_FEATURES, (n, 7)) for n in lengths]
+    tracemalloc.start()
+    got = pii.viterbi(features, emit, move)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6  # 1,502 x 6,000 x 56 bytes are 505 MB
+    for f, labels in zip(features, got):
+        assert (labels == pii.viterbi([f], emit, move)[0]).all()
+
+
 def test_pii_base_patterns():
     text = "a@b.c, 1.2.3.4 x 999.1.1.1 x 4111 1111 1111 1111 x +1 (555) 123-4567 x 4111111111111112"
     spans = pii.base_spans(text)
