@@ -1,7 +1,7 @@
 """From documents to training sequences: five stages, each on all that the one before it kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``. ``run`` writes each stage's result to the shared scratch folder
+return the columns of ``documents``, the last the training sequences. ``run`` writes each stage's result to the shared scratch folder
 and reads it back for the next one.
 """
 
@@ -43,8 +43,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of power-of-two lengths, one piece of one document each."""
-    return pack_pow2(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False)
+    """Sequences of power-of-two lengths, one piece of one document each, with their ids."""
+    return pack_pow2(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [

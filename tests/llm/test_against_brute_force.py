@@ -276,6 +276,14 @@ def test_pipeline_drops_near_copies_from_80_percent(spark):
         assert kept == ({1, 3} if gone else {1, 2, 3})
 
 
+def test_pipeline_returns_the_ids(spark):
+    text = "some words in a row, and more of them"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = sorted(corpus_pipeline.pack(spark, docs, "").collect(), key=lambda r: r["start"])
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    assert [i for r in rows for i in r["ids"]] == [*library.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_pipeline(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     sizes = [docs.count()]
