@@ -55,7 +55,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL can't run the tokenizer; the tests hold the stages against a brute-force version.
+#: SQL can't run the tokenizer. The tests compare the row counts of the stages by inequalities, the packing with the
+#: library's ids, and the near-dedup threshold on a small example; what the other stages keep is tested by operator only.
 ORACLE_SQL = None
 
 
