@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.chunks import repeated_chunks
 from tabulon.llm.common import table
+from tabulon.llm.fill_in_middle import RESULTS, fill_in_middle, restored
 from tabulon.llm.lines import drop_boilerplate
 from tabulon.llm.mixing import mix_sources
 from tabulon.llm.near import near_duplicates
@@ -236,3 +237,43 @@ def op6_chunks(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_pii")
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     return find_pii(table(spark, folder, "documents"))
+
+
+FILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), r AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM r
+), p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:n], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", FILL_SQL)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    done = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        *RESULTS,
+        F.sha2("text", 256).alias("output_sha256"),
+        F.sha2(restored("text", "form"), 256).alias("restored_sha256"),
+    )
