@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.centroids import cluster
 from tabulon.llm.chunks import repeated_chunks
 from tabulon.llm.common import table
 from tabulon.llm.fill_in_middle import RESULTS, fill_in_middle, restored
@@ -277,3 +278,58 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("text", 256).alias("output_sha256"),
         F.sha2(restored("text", "form"), 256).alias("restored_sha256"),
     )
+
+
+def _cluster_sql(k: int, rounds: int) -> str:
+    """One pair of tables per round: all vectors assigned, all centroids moved."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT i, min(struct_pack(distance := distance, number := number)) AS best FROM (
+    SELECT v.i, c.number, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM long v JOIN c{r} c USING (place) GROUP BY v.i, c.number
+  ) GROUP BY i
+)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT a.best.number AS number, place, sum(x) AS s, count(*) AS n FROM long JOIN a{r} a USING (i) GROUP BY ALL
+), c{r + 1} AS (
+  SELECT c.number, c.place, coalesce(((m.s - ((m.s % m.n) + m.n) % m.n) // m.n)::BIGINT, c.x) AS x
+  FROM c{r} c LEFT JOIN m{r} m USING (number, place)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), long AS (
+  SELECT i, unnest(w) AS x, unnest(range(64)) AS place FROM kept
+), first AS (
+  SELECT w, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), w) - 1 AS number FROM kept
+  QUALIFY number < {k}
+), c0 AS (
+  SELECT number, unnest(w) AS x, unnest(range(64)) AS place FROM first
+), {", ".join(steps)}, d AS (
+  SELECT best.number AS number, sum(best.distance) AS inertia FROM a{rounds} GROUP BY 1
+), h AS (
+  SELECT number, sha256(string_agg(x::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY number
+)
+SELECT vec_id, best.number::INTEGER AS cluster, best.distance AS distance, d.inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(inertia) FROM d)::BIGINT AS inertia, centroid_sha256
+FROM kept JOIN a{rounds} a USING (i) JOIN d ON d.number = best.number JOIN h ON h.number = best.number
+"""
+
+
+@query("op12_centroids", _cluster_sql(k=40, rounds=5))
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = cluster(table(spark, folder, "embeddings"), k=40, rounds=5)
+    sums = {row["cluster"]: int(row["inertia"]) for row in found.sizes().collect()}  # one row per centroid
+    total = sum(sums.values())
+    shown = [
+        (c, n, total, ",".join(map(str, found.centroids[c]))) for c, n in sums.items()
+    ]
+    clusters = spark.createDataFrame(shown, "cluster int, cluster_inertia long, inertia long, numbers string")
+    clusters = clusters.withColumn("centroid_sha256", F.sha2("numbers", 256)).drop("numbers")
+    return found.members.join(F.broadcast(clusters), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
