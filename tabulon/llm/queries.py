@@ -19,6 +19,7 @@ from tabulon.llm.quality import quality
 from tabulon.llm.suffixes import remove_repeats
 from tabulon.llm.token_files import read_tokens, write_tokens
 from tabulon.llm.tokens import tokenizer_path
+from tabulon.llm.topk import top_k
 from tabulon.plans.registry import query, rounded
 from tabulon.session import scratch_path
 
@@ -333,3 +334,22 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return found.members.join(F.broadcast(clusters), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
+
+
+TOP_SQL = """
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM kept q JOIN kept c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query("op13_topk", TOP_SQL)
+def op13_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
