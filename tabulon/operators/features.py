@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators.ordering import exact_quantiles, frequency_ranks
-from tabulon.session import held
 
 # --- numbers -----------------------------------------------------------------
 
@@ -312,10 +311,3 @@ def fit_word_vectors(
 def sql_stage(df: DataFrame, statement: str) -> DataFrame:
     """One SQL statement over the table, which it calls ``__THIS__``."""
     return mf.SQLTransformer(statement=statement).transform(df)
-
-
-def fit_pca(df: DataFrame, column: str, out: str = "pca", k: int = 3) -> mf.PCAModel:
-    """Principal axes; the covariance of n columns takes n * n doubles on the driver."""
-    with held(df.select(column)) as (vectors,):
-        return mf.PCA(k=k, inputCol=column, outputCol=out).fit(vectors)
-

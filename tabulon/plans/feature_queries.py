@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.operators import features
+from tabulon.operators import features, principal
 from tabulon.plans import inputs
 from tabulon.plans.registry import query, rounded
 from tabulon.sources import read_table
@@ -421,17 +421,38 @@ def pca_variance(spark: SparkSession, folder: str) -> DataFrame:
     lines = features.vectorised(
         _lines(spark, folder, "l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"]
     )
-    model = features.fit_pca(lines, "features", k=2)
-    shares = [(i, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
+    model = principal.fit_pca(lines, "features", k=2)
+    shares = [(i, float(v)) for i, v in enumerate(model.shares)]
     found = spark.createDataFrame(shares, "axis int, variance double")
     return found.withColumn("variance", rounded("variance", 6))
 
 
+@query(
+    "pca_components",
+    """WITH c AS (SELECT var_samp(l_quantity) AS a, var_samp(l_extendedprice) AS d,
+                         covar_samp(l_quantity, l_extendedprice) AS b FROM lineitem),
+            e AS (SELECT a, b, (a + d) / 2 - sqrt((a - d) * (a - d) / 4 + b * b) AS low FROM c),
+            u AS (SELECT a - low AS p, b AS q, sqrt((a - low) * (a - low) + b * b) AS n FROM e)
+       SELECT CAST(axis AS INTEGER) AS axis, name AS "column",
+              round(CASE WHEN axis = 0 AND name = 'l_quantity' THEN p / n WHEN axis = 0 THEN q / n
+                         WHEN name = 'l_quantity' THEN q / n ELSE -p / n END
+                    * CASE WHEN axis = 0 AND abs(p) >= abs(q) THEN sign(p) WHEN axis = 0 THEN sign(q)
+                           WHEN abs(q) >= abs(p) THEN sign(q) ELSE -sign(p) END, 9) + 0.0 AS loading
+       FROM u, (VALUES (0), (1)) v(axis), (VALUES ('l_quantity'), ('l_extendedprice')) w(name)""",
+)
+def pca_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Loadings of quantity and price on both axes; the larger one of an axis is positive."""
+    names = ["l_quantity", "l_extendedprice"]
+    lines = features.vectorised(_lines(spark, folder, *names), names)
+    found = principal.axis_table(lines, principal.fit_pca(lines, "features", k=2), names)
+    return found.withColumn("loading", rounded("loading", 9))
+
+
 @query("pca_project")
 def pca_project(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings on their three main axes; the sign of an axis is free."""
+    """Embeddings on their three main axes; the largest entry of an axis is positive."""
     rows = inputs.vectors(spark, folder)
-    model = features.fit_pca(rows, "features", k=3)
+    model = principal.fit_pca(rows, "features", k=3)
     projected = model.transform(rows).select("vec_id", "pca")
     out = features.vector_columns(projected, "pca", ["a0", "a1", "a2"])
     return out.select("vec_id", *[rounded(c, 6).alias(c) for c in ("a0", "a1", "a2")])
@@ -445,6 +466,6 @@ def pca_project(spark: SparkSession, folder: str) -> DataFrame:
 def pca_rotation(spark: SparkSession, folder: str) -> DataFrame:
     """On all 64 axes the projection is a rotation, so it keeps every length."""
     rows = inputs.vectors(spark, folder)
-    projected = features.fit_pca(rows, "features", k=64).transform(rows)
+    projected = principal.fit_pca(rows, "features", k=64).transform(rows)
     length = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda s, v: s + v * v)
     return projected.select("vec_id", rounded(length, 6).alias("squared_length"))

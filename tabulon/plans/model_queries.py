@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import evaluate, features, supervised, tables, tuning, unsupervised
+from tabulon.operators import evaluate, features, principal, supervised, tables, tuning, unsupervised
 from tabulon.plans import inputs, jobs
 from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
@@ -285,7 +285,7 @@ def multiclass_logistic(spark: SparkSession, folder: str) -> DataFrame:
 def mlp(spark: SparkSession, folder: str) -> DataFrame:
     """Perceptron 4-5-4-3: four axes of the embeddings to three groups of labels."""
     rows = inputs.vectors(spark, folder)
-    axes = features.fit_pca(rows, "features", "axes", k=4).transform(rows)
+    axes = principal.fit_pca(rows, "features", "axes", k=4).transform(rows)
     data = axes.select("vec_id", F.col("axes").alias("features"), (F.col("label") % 3).cast("double").alias("label"))
     split = tables.with_split(data, ["vec_id"], {"train": 6, "test": 4}, seed=1234)
     model = supervised.fit_perceptron(split.where("part = 'train'"))
