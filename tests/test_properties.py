@@ -338,8 +338,8 @@ def test_many_users_make_no_pair_rows(spark):
     items = spark.range(25).select(F.col("id").alias("item_id"))
     users = fitted.user_factors().select("user_id")
     rated = spark.createDataFrame([], "user_id long, item_id long")
-    found = recommend.top_items(fitted, items, users, rated, k=3, blocks=2)
-    assert found.count() == 2 * 3 * users.count()
+    found = recommend.top_items(fitted, items, users, rated, k=3, digits=2, block_items=4)
+    assert found.count() == 3 * users.count()
     pairs = users.crossJoin(items).select("user_id", "item_id")
     best = tables.top_per_user(fitted.predict(pairs).withColumnRenamed("prediction", "score"), 3, 2)
     mine = tables.top_per_user(found, 3, 2)
