@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.features import term_table
-from tabulon.session import held, scratch_path
+from tabulon.session import held, scratch_path, written
 
-# Applying rules inside the library ships every rule to every task.
+# Applying rules inside the library ships every rule to every task; here they stay tables.
 
 
 def fit_kmeans(
@@ -147,34 +147,48 @@ def rule_table(model: FPGrowthModel) -> DataFrame:
     )
 
 
-def predict_by_rules(model: FPGrowthModel, df: DataFrame, key: str, items: str = "items") -> DataFrame:
-    """Consequents of all matching rules that the basket does not hold yet, by a join.
+def rule_postings(rules: DataFrame, antecedent: str = "antecedent", consequent: str = "consequent") -> tuple[DataFrame, DataFrame]:
+    """An inverted file ``item, antecedent_id, n_items`` and what follows, ``antecedent_id, consequent, held``.
+
+    Rules with one antecedent share its postings. An empty antecedent has none, so its rules never fire.
+    Each consequent also follows from itself, marked as held: so a basket finds what it has on
+    the way on which it finds what it is offered.
+    """
+    numbered = rules.select(F.sort_array(F.array_distinct(antecedent)).alias("items"), F.col(consequent).alias("consequent"))
+    own = numbered.select(F.array("consequent").alias("items"), F.lit(True).alias("held"))
+    heads = numbered.select("items", F.lit(False).alias("held")).unionAll(own).distinct()
+    heads = written(heads.withColumn("antecedent_id", F.monotonically_increasing_id()), "antecedents")
+    postings = heads.select(F.explode("items").alias("item"), "antecedent_id", F.size("items").alias("n_items"))
+    follows = numbered.join(heads.where(~F.col("held")), "items").select("antecedent_id", "consequent", "held").distinct()
+    selves = heads.where("held").select("antecedent_id", F.col("items")[0].alias("consequent"), "held")
+    return postings, written(follows.unionAll(selves), "consequents")
+
+
+def fired_rules(entries: DataFrame, postings: DataFrame, follows: DataFrame, key: str) -> DataFrame:
+    """``key, item``: consequents of the antecedents whose items all are among the basket's, less what it holds.
+
+    ``entries`` has one row ``key, item`` for each item of a basket. A basket meets an
+    antecedent once for each shared item; these rows shrink to one count per basket and
+    antecedent, and an antecedent has fired if the count reaches its length. No row
+    carries a list, so a basket of n items costs n rows and not their square. The entries
+    are dealt out by basket, so with rules small enough to be broadcast nothing else is shuffled. A null
+    item matches nothing.
+    """
+    met = entries.repartition(key).join(postings, "item").groupBy(key, "antecedent_id", "n_items").agg(F.count(F.lit(1)).alias("n"))
+    fired = met.where(F.col("n") == F.col("n_items")).join(follows, "antecedent_id")
+    offered = fired.groupBy(key, F.col("consequent").alias("item")).agg(F.max("held").alias("held"))
+    return offered.where(~F.col("held")).select(key, "item")
+
 
-    Each rule waits at its rarest antecedent item, and the rules stay a table.
+def predict_by_rules(model: FPGrowthModel, df: DataFrame, key: str, items: str = "items") -> DataFrame:
+    """Add ``prediction``: consequents of all matching rules that the basket does not hold yet, sorted.
 
-    A basket meets a rule at most once, and the frequent items, which most baskets
-    hold, bring few rules along.
+    ``key`` names a basket: rows that share one are taken as one basket, and each gets its predictions.
+    A null or empty basket gets an empty list; null items are left out.
     """
-    frequency = model.freqItemsets.where(F.size("items") == 1).select(
-        F.col("items")[0].alias("item"), "freq"
-    )
-    waiting = (
-        model.associationRules.select(
-            "antecedent", F.col("consequent")[0].alias("consequent"), F.explode("antecedent").alias("item")
-        )
-        .join(frequency, "item")
-        .groupBy("antecedent", "consequent")
-        .agg(F.min_by("item", F.struct("freq", "item")).alias("item"))
-    )
-    fired = (
-        df.select(key, items, F.explode(F.array_distinct(items)).alias("item"))
-        .join(waiting, "item")
-        .where(F.size(F.array_except("antecedent", items)) == 0)
-        .where(~F.array_contains(F.col(items), F.col("consequent")))
-        .groupBy(key)
-        .agg(F.collect_set("consequent").alias("prediction"))
-    )
+    entries = df.select(F.col(key), F.explode(items).alias("item")).where(F.col("item").isNotNull()).distinct()
+    rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("consequent"))
+    found = fired_rules(entries, *rule_postings(rules), key)
+    predicted = found.groupBy(key).agg(F.sort_array(F.collect_list("item")).alias("_prediction"))
     nothing = F.array().cast(df.schema[items].dataType)
-    return df.join(fired, key, "left").select(
-        *df.columns, F.coalesce("prediction", nothing).alias("prediction")
-    )
+    return df.join(predicted, key, "left").select(*df.columns, F.coalesce("_prediction", nothing).alias("prediction"))

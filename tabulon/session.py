@@ -65,6 +65,16 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back, so that plans know its size.
+
+    A join broadcasts such a table if it is small, and only then.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least as many partitions as the session shuffles into, for work that costs far more than reading."""
     parts = _session_parts(df)
