@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import stored, words_of
 
 STEPS = 50
+#: Halvings that are worked out in one job.
+AT_ONCE = 5
 
 
 def source_totals(docs: DataFrame, source: str, tokens: Column) -> DataFrame:
@@ -26,38 +28,48 @@ def source_totals(docs: DataFrame, source: str, tokens: Column) -> DataFrame:
     )
 
 
-def _at(totals: DataFrame, all_tokens: int, exponent: float) -> tuple[float, float]:
-    """Entropy of the weights, and the most repeated source's rate over the least repeated one's."""
+def _at(totals: DataFrame, all_tokens: int, exponents: list[float]) -> list[tuple[float, float]]:
+    """For each exponent the entropy of the weights, and the most repeated source's rate over the least repeated one's."""
     share = F.col("tokens") / F.lit(float(all_tokens))
-    row = totals.select(F.pow(share, F.lit(exponent)).alias("w"), share.alias("p")).agg(
+    tried = F.posexplode(F.array(*[F.lit(e) for e in exponents])).alias("place", "exponent")
+    weights = totals.select(share.alias("p"), tried).withColumn("w", F.pow("p", "exponent"))
+    rows = weights.groupBy("place").agg(
         F.sum("w").alias("z"),
         F.sum(F.col("w") * F.log("w")).alias("wlogw"),
         F.max(F.col("w") / F.col("p")).alias("most"),
         F.min(F.col("w") / F.col("p")).alias("least"),
-    ).first()
-    return math.log(row["z"]) - row["wlogw"] / row["z"], row["most"] / row["least"]
+    ).collect()
+    found = {r["place"]: (math.log(r["z"]) - r["wlogw"] / r["z"], r["most"] / r["least"]) for r in rows}
+    return [found[k] for k in range(len(exponents))]
 
 
 def find_exponent(totals: DataFrame, all_tokens: int, entropy_gain: float | None, max_repetition: float | None) -> float:
-    """The smallest exponent in [0, 1] that keeps within both limits, to 15 digits.
+    """The smallest exponent in [0, 1] that keeps within both limits, by ``STEPS`` halvings.
 
     ``entropy_gain``: the target entropy, as the part of the way from that of the
     natural shares (0) to that of equal weights (1). ``max_repetition``: how often
     the most repeated source may be seen while the least repeated one is seen once.
-    Each step is one aggregation over one row per source.
+    Each job is one aggregation over one row per source, for all middles that the
+    next ``AT_ONCE`` halvings may come to.
     """
-    natural, _ = _at(totals, all_tokens, 1.0)
-    equal, _ = _at(totals, all_tokens, 0.0)
+    (natural, _), (equal, _) = _at(totals, all_tokens, [1.0, 0.0])
     target = math.inf if entropy_gain is None else natural + entropy_gain * (equal - natural)
     limit = math.inf if max_repetition is None else max_repetition
     low, high = 0.0, 1.0
-    for _ in range(STEPS):
-        middle = (low + high) / 2
-        entropy, repetition = _at(totals, all_tokens, middle)
-        if entropy > target or repetition > limit:
-            low = middle
-        else:
-            high = middle
+    for done in range(0, STEPS, AT_ONCE):
+        steps = min(AT_ONCE, STEPS - done)
+        ahead = [(low, high)]
+        for _ in range(steps - 1):
+            ahead += [half for a, b in ahead[len(ahead) // 2 :] for half in ((a, (a + b) / 2), ((a + b) / 2, b))]
+        middles = [(a + b) / 2 for a, b in ahead]
+        known = dict(zip(middles, _at(totals, all_tokens, middles)))
+        for _ in range(steps):
+            middle = (low + high) / 2
+            entropy, repetition = known[middle]
+            if entropy > target or repetition > limit:
+                low = middle
+            else:
+                high = middle
     return high
 
 
@@ -89,7 +101,8 @@ def mix_sources(
     together.
 
     Tokens are words unless given. A null source is a source of its own; a null or
-    empty text has no tokens and costs nothing; a source without any tokens is left out.
+    empty text has no tokens and costs nothing; a source without any tokens has no weight
+    and is seen once.
     A null id counts as the empty one. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -126,7 +139,9 @@ def mix_sources(
         .groupBy("source")
         .agg(F.min(F.struct("block", "before", "left")).alias("at"))
     )
-    inside = sized.join(last.select("source", "at.*"), "source").where(F.col("key").startswith(F.col("block")))
+    # Joined by block as well: of a hot source only the rows of that one block move on.
+    in_block = sized.withColumn("block", F.substring("key", 1, digits))
+    inside = in_block.join(last.select("source", "at.*"), ["source", "block"])
     taken = (
         inside.withColumn("sum", F.sum("n").over(Window.partitionBy("source").orderBy("key")) + F.col("before"))
         .where(F.col("sum") <= F.col("left"))
@@ -141,11 +156,11 @@ def mix_sources(
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     ours = ("epoch", "block", "mix_key")
-    times = F.col("epochs") + (F.col("key") <= F.col("until")).cast("long")
+    times = F.col("epochs") + F.coalesce(F.col("key") <= F.col("until"), F.lit(False)).cast("long")
     mixed = (
         docs.select(row, source.alias("source"), key.alias("key"))
-        .join(ends, "source")
-        .select("_row", "key", "source", F.coalesce(times, F.col("epochs")).alias("times"))
+        .join(ends, "source", "left")
+        .select("_row", "key", "source", F.coalesce(times, F.lit(1).cast("long")).alias("times"))
         .where(F.col("times") > 0)
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("epoch"))
     )

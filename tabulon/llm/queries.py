@@ -163,9 +163,9 @@ WITH RECURSIVE d AS (
 ), plan AS (
   SELECT source, floor(need / tokens)::BIGINT AS epochs, need - floor(need / tokens) * tokens AS rest FROM need
 ), run AS (
-  SELECT d.*, epochs, rest, sum(n) OVER (PARTITION BY d.source ORDER BY key) AS upto FROM d JOIN plan USING (source)
+  SELECT d.*, epochs, rest, sum(n) OVER (PARTITION BY d.source ORDER BY key) AS upto FROM d LEFT JOIN plan USING (source)
 ), times AS (
-  SELECT doc_id, source, key, epochs + (upto <= rest)::BIGINT AS times FROM run
+  SELECT doc_id, source, key, coalesce(epochs + (upto <= rest)::BIGINT, 1) AS times FROM run
 )
 SELECT doc_id, source, epoch, key[1:3] AS block, md5('17:' || epoch || ':' || source || ':' || key[1:3]) || key AS mix_key
 FROM (SELECT *, unnest(range(1, times + 1)) AS epoch FROM times)

@@ -79,7 +79,17 @@ def test_mixing(odd, empty):
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in odd.collect()}  # nothing is lost without a budget
     assert all(r["epoch"] != "x" for r in rows)
     assert mix_sources(empty).collect() == []
-    assert mix_sources(odd.where("doc_id = 2")).collect() == []
+    assert [r["epoch"] for r in mix_sources(odd.where("doc_id = 2")).collect()] == [1]
+
+
+def test_mixing_keeps_sources_without_words(spark):
+    rows = [(1, None, "x"), (4, " \n ", "x"), (2, "one two three", "y"), (3, "", "y"), (5, "a b", None), (6, None, None), (7, "", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for budget in (None, 100.0):
+        found = mix_sources(df, budget=budget).collect()
+        assert {r["doc_id"] for r in found} == {1, 2, 3, 4, 5, 6, 7}
+        assert [r["epoch"] for r in found if r["source"] in ("x", "z")] == [1, 1, 1]
+    assert {r["doc_id"] for r in mix_sources(df.where("doc_id in (1, 4, 7)")).collect()} == {1, 4, 7}
 
 
 def test_chunks(odd, empty):
