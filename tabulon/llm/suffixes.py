@@ -21,7 +21,6 @@ difference-cover sorting, with a cover that depends on the content:
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,6 @@ PLACE_BITS = 22  # a batch of texts is below 2 ** 22 bytes unless one text is lo
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 20
 HOT_RUNS = 1 << 14
-NO_ID = -(1 << 63)
 
 _RNG = np.random.default_rng(200)
 _BYTE = _RNG.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,31 +129,37 @@ def repeated_suffixes(pieces: list[bytes], bucket: np.ndarray) -> list[np.ndarra
     return np.split(twice, first[1:])
 
 
+def row_keys(ids: list[int | None], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A key of 88 bits per row, 64 (id) and 24 (mark), from doc_id and text: only rows equal in both share it."""
+    keys = [hashlib.blake2b(t, digest_size=11, salt=b"" if d is None else b"%x" % (d % (1 << 64))).digest() for d, t in zip(ids, texts)]
+    high = np.frombuffer(b"".join(k[:8] for k in keys), np.int64)
+    low = np.array([int.from_bytes(k[8:]) for k in keys], np.int64)
+    return high, low
+
+
 def _packed(docs: DataFrame) -> DataFrame:
-    """Texts as compressed bytes with the key that rows of one text share."""
+    """Texts as compressed bytes with the key of their rows."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(1)
         for batch in sub_batches(batches):
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            marks = [zlib.crc32(t) & 0xFFFFFF for t in texts]
+            ids, marks = row_keys(batch.column(0).to_pylist(), texts)
             data = pa.array([press.compress(t) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64()), data], ["doc_id", "mark", "packed"])
+            columns = [batch.column(0), pa.array(ids), pa.array(marks), data]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "mark", "packed"])
 
-    return docs.transform(by_batch, pack, "doc_id long, mark long, packed binary").withColumn(
-        "id", F.coalesce("doc_id", F.lit(NO_ID))
-    )
+    return docs.transform(by_batch, pack, "doc_id long, id long, mark long, packed binary")
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """bucket, rank, id, and place: the text's mark, the first window and the number of windows in one number."""
+    """bucket, rank, id, and place: the row's mark, the first window and the number of windows in one number."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, BATCH_BYTES):
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             text, start, number, bucket, rank = runs_of(texts)
-            ids = np.array([NO_ID if d is None else d for d in batch.column(0).to_pylist()], np.int64)
-            marks = np.array([zlib.crc32(t) & 0xFFFFFF for t in texts], np.int64)
+            ids, marks = row_keys(batch.column(0).to_pylist(), texts)
             place = marks[text] << 40 | start << 8 | number
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (bucket, rank, ids[text], place)], ["bucket", "rank", "id", "place"]
@@ -273,8 +277,8 @@ def remove_repeats(
     removed runs), kept_sha256 (of the remaining bytes, joined) and, if asked for, kept (those bytes).
 
     A null text is the empty one, and a text of fewer than ``LENGTH`` bytes has nothing removed.
-    Repeated rows repeat each other's strings; rows with one id and different texts
-    are told apart by the text. A null id stays null. Further columns are not looked at. An empty table
+    Repeated rows repeat each other's strings; rows are told apart by id and text together, so
+    those that share an id, or have none, are documents of their own. A null id stays null. Further columns are not looked at. An empty table
     gives an empty result. Suffixes are compared by 64-bit hashes within their bucket.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
