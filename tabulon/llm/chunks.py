@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tabulon.llm.common import by_batch, sub_batches
 
@@ -56,25 +57,31 @@ def chunk_bounds(text: bytes) -> list[int]:
     return ends
 
 
+def text_key(text: bytes) -> int:
+    """A signed 64-bit digest that tells texts of one id apart."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """One row per chunk: digest (two longs), id, and start and length in one number."""
+    """One row per chunk: digest (two longs), id, key of the text, and start and length in one number."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches):
-            digests, ids, places = [], [], []
+            digests, ids, keys, places = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = (text or "").encode()
                 ends = chunk_bounds(data)
                 starts = [0, *ends[:-1]] if ends else []
                 digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(starts, ends)]
                 ids.append(np.full(len(ends), NO_ID if doc is None else doc))
+                keys.append(np.full(len(ends), text_key(data)))
                 begin = np.array(starts, np.int64)
                 places.append(begin << 12 | (np.array(ends, np.int64) - begin))
             both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            columns = [both[:, 0], both[:, 1], np.concatenate(ids), np.concatenate(places)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["d1", "d2", "id", "place"])
+            columns = [both[:, 0], both[:, 1], *map(np.concatenate, (ids, keys, places))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["d1", "d2", "id", "text", "place"])
 
-    return docs.transform(by_batch, cut, "d1 long, d2 long, id long, place long")
+    return docs.transform(by_batch, cut, "d1 long, d2 long, id long, text long, place long")
 
 
 def repeated_chunks(
@@ -82,29 +89,28 @@ def repeated_chunks(
 ) -> DataFrame:
     """Runs of neighbouring chunks that occur earlier, ``least_run`` bytes or more together.
 
-    Returns one row per run: doc_id, start and length in bytes of the UTF-8 text, and
+    Returns one row per run: doc_id, start and length in bytes of the UTF-8 text,
     first_doc_ids, the documents that have the run's chunks first (the same document,
-    if it repeats itself). Rows of one id are taken as one document; rows with a null id as
-    one that comes before all others. Null, empty and short texts have no runs.
+    if it repeats itself), and text_key, a digest of the text. A document is an id with a text: repeated
+    rows are one, and different texts of one id, or without an id, are documents of their own, in the order of id
+    (null first) and text_key. Null, empty and short texts have no runs.
     Further columns are not looked at. An empty table gives an empty result.
     """
     own = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     found = chunks(own)
     firsts = (
         found.groupBy("d1", "d2")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text", "place")).alias("first"))
         .where("n > 1")
         .select("d1", "d2", "first")
     )
-    later = found.join(firsts.hint("merge"), ["d1", "d2"]).where(
-        (F.col("id") != F.col("first.id")) | (F.col("place") != F.col("first.place"))
-    )
-    listed = later.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("place", F.col("first.id").alias("first")))).alias("chunks"))
+    later = found.join(firsts.hint("merge"), ["d1", "d2"]).where(F.struct("id", "text", "place") != F.col("first"))
+    listed = later.groupBy("id", "text").agg(F.sort_array(F.collect_set(F.struct("place", F.col("first.id").alias("first")))).alias("chunks"))
 
     def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches):
             rows = []
-            for doc, pieces in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, key, pieces in zip(*(c.to_pylist() for c in batch.columns)):
                 runs: list[list] = []
                 for piece in pieces:
                     start, length = piece["place"] >> 12, piece["place"] & 0xFFF
@@ -113,32 +119,46 @@ def repeated_chunks(
                         runs[-1][2].add(piece["first"])
                     else:
                         runs.append([start, length, {piece["first"]}])
-                rows += [(doc, start, n, sorted(first)) for start, n, first in runs if n >= least_run]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            columns = list(zip(*rows)) or [[], [], [], []]
-            names = ["doc_id", "start", "length", "first_doc_ids"]
+                rows += [(doc, start, n, sorted(first), key) for start, n, first in runs if n >= least_run]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+            columns = list(zip(*rows)) or [[]] * 5
+            names = ["doc_id", "start", "length", "first_doc_ids", "text_key"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    runs = listed.transform(by_batch, join_up, "doc_id long, start long, length long, first_doc_ids array<long>")
+    runs = listed.transform(by_batch, join_up, "doc_id long, start long, length long, first_doc_ids array<long>, text_key long")
     return runs.select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"),
         "start",
         "length",
         F.transform("first_doc_ids", lambda x: F.nullif(x, F.lit(NO_ID))).alias("first_doc_ids"),
+        "text_key",
     )
 
 
+def _with_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (all columns as one), ``own_id``, ``own_text`` and ``own_key``: no name of ``docs`` can clash."""
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = named.select("row", F.col("row")[id_col].cast("long").alias("own_id"), F.col("row")[text_col].cast("string").alias("own_text"))
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [text_key((t or "").encode()) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "own_key"])
+
+    return rows.transform(by_batch, digest, StructType([*rows.schema.fields, StructField("own_key", LongType())]))
+
+
 def remove_chunks(docs: DataFrame, runs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the runs of :func:`repeated_chunks` taken out of their texts.
 
-    Null texts stay null; rows without an id or without runs stay as they are.
+    Runs belong to rows by id (null included) and text. Null texts and rows without runs stay as they are.
     """
-    spans = runs.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("_spans"))
-    data = F.encode(F.col(text_col), "UTF-8")
-
-    joined = docs.join(spans.hint("merge"), docs[id_col] == F.col("_id"), "left")
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda s: s["start"] + s["length"]))
-    ends = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.octet_length(text_col).cast("long")))
+    spans = runs.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"))
+    rows = _with_keys(docs, id_col, text_col)
+    joined = rows.join(spans.hint("merge"), F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")), "left")
+    data = F.encode("own_text", "UTF-8")
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["start"] + s["length"]))
+    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length("own_text").cast("long")))
     pieces = F.zip_with(begins, ends, lambda a, b: F.decode(F.substring(data, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8"))
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(pieces, ""))
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    text = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(F.array_join(pieces, ""))
+    return joined.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
