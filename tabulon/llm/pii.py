@@ -27,22 +27,30 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# The same matches in time that grows with the text and not with the square of a word: the part before
+# an @ is taken once per @, and numbers with dots are taken once as a whole.
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
+
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _SPACE = " \t\n\x0b\x0c\r"
 _MARKED = re.compile(r"[0-9@]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ENDS = ".,;:!?\"'<>"
 
-#: Shape classes of words, first match counts; the last two are "some digits" and "plain".
+#: Shape classes of words, first match counts; after them "letters and digits", "some digits" and "plain".
 _SHAPES = [
     re.compile(p)
     for p in (
         r"[^@]+@[^@]+\.[^@]+", r"[^@]*@[^@]*", r"[0-9]{1,3}(\.[0-9]{1,3}){3}", r"[0-9]+(\.[0-9]+)+",
         r"\+[0-9]{1,3}", r"\+[0-9().-]+", r"\([0-9]+\)", r"\(?[0-9]+\)?([-./][0-9]+)+", r"[0-9]{1,2}", r"[0-9]{3,4}",
-        r"[0-9]{5,8}", r"[0-9]{9,12}", r"[0-9]{13,19}", r"[0-9]{20,}", r".*[A-Za-z].*[0-9].*|.*[0-9].*[A-Za-z].*", r".*[0-9].*",
+        r"[0-9]{5,8}", r"[0-9]{9,12}", r"[0-9]{13,19}", r"[0-9]{20,}",
     )
 ]
-_N_SHAPES = len(_SHAPES) + 1
+_LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
+_MIXED, _SOME_DIGIT, _PLAIN = len(_SHAPES), len(_SHAPES) + 1, len(_SHAPES) + 2
+_N_SHAPES = _PLAIN + 1
 _DIGIT_STEPS = (1, 3, 5, 9, 13, 20)
 #: Words, with padding, of the stretches that are decoded in step.
 CELLS = 1 << 16
@@ -98,7 +106,9 @@ def _shape(word: str) -> int:
     for k, pattern in enumerate(_SHAPES):
         if pattern.fullmatch(core):
             return k
-    return len(_SHAPES)
+    if not _DIGIT.search(core):
+        return _PLAIN
+    return _MIXED if _LETTER.search(core) else _SOME_DIGIT
 
 
 def _features(words: list[str]) -> np.ndarray:
@@ -226,13 +236,41 @@ def _luhn(digits: str) -> bool:
     return (odd + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """The matches of ``EMAIL``: each @ with the longest part before it that no earlier match holds."""
+    spans, end, at = [], 0, text.find("@")
+    while at >= 0:
+        before = text[end:at]
+        start = end + len(before.rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            spans.append((start, domain.end()))
+        end = domain.end() if domain else at + 1
+        at = text.find("@", end)
+    return spans
+
+
+def addresses(text: str) -> list[tuple[int, int]]:
+    """The matches of ``IP``: numbers joined by dots, four at a time."""
+    spans = []
+    for chain in _DOTTED.finditer(text):
+        parts, start = chain[0].split("."), chain.start()
+        for k in range(0, len(parts) - 3, 4):
+            size = sum(map(len, parts[k : k + 4])) + 3
+            spans.append((start, start + size))
+            start += size + 1
+    return spans
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Kind number, start and end (code points) of the fixed patterns, by kind, then start."""
     spans = []
     if "@" in text:
-        spans += [(0, *m.span()) for m in EMAIL.finditer(text)]
+        spans += [(0, *span) for span in emails(text)]
     if re.search("[0-9]", text):
-        spans += [(1, *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        spans += [
+            (1, a, b) for a, b in addresses(text) if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in text[a:b].split("."))
+        ]
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 13 <= len(digits) <= 19 and _luhn(digits):
