@@ -15,7 +15,7 @@ ODD = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use for their own results.
-CLASHES = ["n_words", "kept", "n_lines", "n_dropped", "epoch", "block", "host", "key", "id", "place", "row", "tokens", "words", "all", "lines"]
+CLASHES = ["n_words", "kept", "n_lines", "n_dropped", "epoch", "block", "host", "key", "id", "place", "row", "tokens", "words", "all", "lines", "_id", "_spans", "spans", "mark", "text_key"]
 
 
 @pytest.fixture(scope="session")
