@@ -32,9 +32,14 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: those that share 80 % or more of their shingles."""
-    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of near duplicates: those that share 80 % or more of their shingles.
+
+    Rows are numbered first and told apart by their number, so a row goes for its own text only,
+    whatever its id is: of repeated rows one stays, and so do other texts of an id. Null and empty texts stay.
+    """
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    gone = near_duplicates(rows, id_col="row", percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("row"))
+    return rows.join(stored(gone, "gone"), "row", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
