@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import evaluate, features, principal, supervised, tables, tuning, unsupervised
+from tabulon.operators import evaluate, features, principal, supervised, tables, topics, tuning, unsupervised
 from tabulon.plans import inputs, jobs
 from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
@@ -629,6 +629,30 @@ def lda_fit(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_all(found, 4, "log_likelihood", "log_perplexity")
 
 
+@query(
+    "topic_sets",
+    """WITH t AS (SELECT DISTINCT l_orderkey AS id, l_orderkey % 2 AS side, CASE l_orderkey % 2 WHEN 0 THEN 'even ' ELSE 'odd ' END || p_brand AS term
+                 FROM lineitem JOIN part ON l_partkey = p_partkey)
+       SELECT DISTINCT term, min(term) OVER (PARTITION BY side) AS first_of_topic, n AS n_documents
+       FROM t JOIN (SELECT side, count(DISTINCT id) AS n FROM t GROUP BY side) USING (side)""",
+)
+def topic_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as documents over two sets of brands without a common one: each topic holds one set and its orders."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    parts = read_table(spark, folder, "part").select("p_partkey", "p_brand")
+    side = F.when(F.col("l_orderkey") % 2 == 0, "even ").otherwise("odd ")
+    counts = (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(F.col("l_orderkey").alias("id"), F.concat(side, "p_brand").alias("term"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    model = topics.fit_topic_tables(counts, k=2, rounds=20)
+    orders = model.documents.groupBy(topics.heaviest("shares").alias("topic")).agg(F.count(F.lit(1)).alias("n_documents"))
+    terms = model.terms.select("term", topics.heaviest("weights").alias("topic"))
+    first = terms.groupBy("topic").agg(F.min("term").alias("first_of_topic"))
+    return terms.join(first.join(orders, "topic"), "topic").select("term", "first_of_topic", "n_documents")
+
+
 # --- itemsets ----------------------------------------------------------------
 
 _SUPPORT, _CONFIDENCE = 0.01, 0.13
