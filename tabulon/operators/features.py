@@ -52,6 +52,48 @@ def quantile_bins(
     return bucketize(df, column, out, quantile_splits(df, column, buckets))
 
 
+def fit_bins(
+    df: DataFrame, columns: Sequence[str], outputs: Sequence[str], bins: int = 32, accuracy: int = 10_000, handle_invalid: str = "error"
+) -> mf.Bucketizer:
+    """Bins for several columns with edges taken from all rows.
+
+    A column with at most ``bins`` distinct values gets a bin for each, however rare it
+    is. Other columns get a bin for their least and for their largest value and bins of
+    about equal size between, from quantile sketches (rank error of one in ``accuracy``) that are
+    built in each task and merged. That is one scan, and a second one for the distinct values of the columns that
+    seem to have few. Nulls and NaNs are not looked at; ``handle_invalid`` says what
+    becomes of them in the result.
+    """
+    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    inner = [i / (bins - 1) for i in range(1, bins - 1)]
+    sketch = df.agg(
+        *[
+            F.struct(
+                F.approx_count_distinct(v).alias("n"),
+                F.percentile_approx(v, inner, accuracy).alias("inner"),
+                F.min(v).alias("low"),
+                F.max(v).alias("high"),
+            ).alias(f"c{i}")
+            for i, v in enumerate(values.values())
+        ]
+    ).first()
+    few = [i for i in range(len(columns)) if sketch[i]["n"] <= 2 * bins]
+    distinct: dict[int, list[float]] = {i: [] for i in few}
+    if few:
+        entries = F.array(*[F.struct(F.lit(i).alias("column"), values[columns[i]].alias("value")) for i in few])
+        found = df.select(F.inline(entries)).where(F.col("value").isNotNull()).distinct().orderBy("column", "value")
+        for row in found.collect():
+            distinct[row["column"]].append(row["value"] + 0.0)
+    splits = []
+    for i in range(len(columns)):
+        if i in distinct and len(distinct[i]) <= bins:
+            edges = distinct[i][1:] or distinct[i] or [0.0]
+        else:
+            edges = [math.nextafter(sketch[i]["low"], math.inf), *(sketch[i]["inner"] or []), sketch[i]["high"]]
+        splits.append([-math.inf, *sorted(set(edges) - {-math.inf, math.inf}), math.inf])
+    return mf.Bucketizer(splitsArray=splits, inputCols=list(columns), outputCols=list(outputs), handleInvalid=handle_invalid)
+
+
 def vectorised(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
     """Assemble numeric and vector columns to one vector; a null is an error."""
     assembler = mf.VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="error")

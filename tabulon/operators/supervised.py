@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml import classification as mc
 from pyspark.ml import regression as mr
-from pyspark.ml.feature import IndexToString
+from pyspark.ml.feature import IndexToString, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.operators.features import fit_string_index, fit_vector_index
+from tabulon.operators.features import fit_bins, fit_string_index, fit_vector_index
 from tabulon.session import held
 
 # --- linear models -----------------------------------------------------------
@@ -247,6 +247,23 @@ def fit_indexed_classifier(
         return Pipeline(stages=stages).fit(_training(rows, train_when))
 
 
+def fit_binned_tree(df: DataFrame, columns: Sequence[str], tree, bins: int = 32, handle_invalid: str = "error") -> PipelineModel:
+    """A tree model (:func:`tree_regressor`, :func:`tree_classifier`) over bins that all rows decide.
+
+    The library looks for split points in a sample of rows and so knows nothing of a
+    value that one row in a hundred thousand has. Here the columns are cut into
+    bins first (:func:`~tabulon.operators.features.fit_bins`); a bin is a category of the tree, so none is missed, and a split
+    may put any set of bins on one side.
+    """
+    names = [f"_bin_{c}" for c in columns]
+    with held(df, balanced=True) as (rows,):
+        bucketizer = fit_bins(rows, columns, names, bins, handle_invalid=handle_invalid)
+        assembler = VectorAssembler(inputCols=names, outputCol=tree.getFeaturesCol())
+        widest = max(map(len, bucketizer.getSplitsArray()))
+        tree = tree.copy({tree.maxBins: max(widest, tree.getMaxBins())})
+        return Pipeline(stages=[bucketizer, assembler, tree]).fit(rows)
+
+
 def _training(rows: DataFrame, condition: str | None) -> DataFrame:
     return rows if condition is None else rows.where(condition)
 

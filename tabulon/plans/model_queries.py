@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import evaluate, features, principal, supervised, tables, topics, tuning, unsupervised
+from tabulon.operators import evaluate, features, gram, principal, supervised, tables, topics, tuning, unsupervised
 from tabulon.plans import inputs, jobs
 from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
@@ -358,6 +358,46 @@ def gbt_regress_exact(spark: SparkSession, folder: str) -> DataFrame:
     return _group_predictions(group_tree(spark, folder, "boosted", maxDepth=5, maxIter=1))
 
 
+@query(
+    "tree_rare_value",
+    """WITH d AS (SELECT CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM lineitem) THEN 25.5 ELSE l_quantity END::DOUBLE AS x FROM lineitem)
+       SELECT x, CASE WHEN x = 25.5 THEN 1000000.0 WHEN x < 25.5 THEN 10.0 ELSE 20.0 END::DOUBLE AS prediction, count(*) AS n
+       FROM d GROUP BY 1, 2""",
+)
+def tree_rare_value(spark: SparkSession, folder: str) -> DataFrame:
+    """A value that only the lines of one order have, in the middle of the others: its bin is a split of its own."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    one = lines.agg(F.min("l_orderkey")).first()[0]
+    x = F.when(F.col("l_orderkey") == one, 25.5).otherwise(F.col("l_quantity").cast("double"))
+    rows = lines.select(x.alias("x"))
+    target = F.when(F.col("x") == 25.5, 1e6).when(F.col("x") < 25.5, 10.0).otherwise(20.0)
+    rows = rows.withColumn("label", target)
+    tree = supervised.tree_regressor("tree", "features", "label", maxDepth=2)
+    model = supervised.fit_binned_tree(rows, ["x"], tree, bins=64)
+    return model.transform(rows).groupBy("x", rounded("prediction", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "linear_cv",
+    """WITH d AS (SELECT l_orderkey % 3 AS fold, l_quantity::DOUBLE AS x, l_extendedprice::DOUBLE AS y FROM lineitem),
+         g AS (SELECT r.reg, m.mix, f.fold FROM (VALUES (0.0::DOUBLE), (0.1::DOUBLE), (2.0::DOUBLE)) r(reg),
+                      (VALUES (0.0::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) m(mix), (SELECT DISTINCT fold FROM d) f),
+         s AS (SELECT f.fold, avg(x) AS mx, avg(y) AS my, var_pop(x) AS v, covar_pop(x, y) AS c FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY 1),
+         b AS (SELECT reg, mix, fold, mx, my,
+                      sign(c) * greatest(abs(c) - reg * mix * sqrt(v), 0) / (v * (1 + reg * (1 - mix))) AS b FROM g JOIN s USING (fold)),
+         e AS (SELECT reg, mix, fold, count(*) AS n, sqrt(avg((y - my - b * (x - mx)) * (y - my - b * (x - mx)))) AS rmse
+               FROM b JOIN d USING (fold) GROUP BY 1, 2, 3),
+         m AS (SELECT reg, mix FROM e GROUP BY 1, 2 ORDER BY round(avg(rmse), 6), reg, mix LIMIT 1)
+       SELECT reg, mix AS elastic_net, fold::INTEGER AS fold, n, round(rmse, 4) + 0.0 AS rmse, (reg, mix) IN (SELECT (reg, mix) FROM m) AS best FROM e""",
+)
+def linear_cv(spark: SparkSession, folder: str) -> DataFrame:
+    """Three-fold error of price on quantity for nine penalties, from one scan."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", F.col("l_extendedprice").alias("label"))
+    rows = features.vectorised(lines.withColumn("fold", F.col("l_orderkey") % 3), ["l_quantity"])
+    found = gram.linear_search(rows, regs=(0.0, 0.1, 2.0), elastic_nets=(0.0, 0.5, 1.0)).table(spark)
+    return found.withColumn("rmse", rounded("rmse", 4))
+
+
 def _group_majority(spark: SparkSession, folder: str, kind: str, label: str, **params) -> DataFrame:
     """With one categorical feature the predicted class is the majority of its group."""
     orders = inputs.priced_orders(spark, folder)
