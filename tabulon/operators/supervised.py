@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -12,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.operators.evaluate import best_threshold, threshold_table
 from tabulon.operators.features import fit_bins, fit_string_index, fit_vector_index
 from tabulon.session import held
 
@@ -157,6 +159,18 @@ def with_probability(df: DataFrame, out: str = "p", of_class: int = 1) -> DataFr
     return df.withColumn(out, vector_to_array("probability")[of_class])
 
 
+def with_best_threshold(
+    model: mc.LogisticRegressionModel, df: DataFrame, label: str = "label"
+) -> tuple[mc.LogisticRegressionModel, float]:
+    """A copy of ``model`` that labels with the threshold of the best F-measure on ``df``, and that threshold.
+
+    Rows that score exactly the threshold are positive, as they are where it is looked for.
+    """
+    scored = with_probability(model.transform(df), "score").select(F.col(label).alias("label"), "score")
+    best = float(best_threshold(threshold_table(scored)).first()["threshold"])
+    return model.copy().setThreshold(math.nextafter(best, 0.0)), best
+
+
 # --- perceptron --------------------------------------------------------------
 
 

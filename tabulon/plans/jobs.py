@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.operators import evaluate, features, supervised, tables, tuning
-from tabulon.operators.recommend import Recommender, fit_als, top_items
+from tabulon.operators.recommend import Recommender, fit_als, search_rank, top_items
 from tabulon.session import held
 
 # --- tabular regression ------------------------------------------------------
@@ -164,6 +164,23 @@ def tune_text(
     )
 
 
+def tuned_and_untuned(
+    train: DataFrame, test: DataFrame, key: str = "id", seed: int = 2018, **search
+) -> DataFrame:
+    """``test`` scored by the plain text pipeline and by the one a search found: key, model, label, prediction, auc.
+
+    ``model`` is untuned or tuned, and ``auc`` the area under the ROC that it reaches on ``test``. ``search``
+    goes to :func:`tune_text`.
+    """
+    models = {"untuned": classify_text(train), "tuned": tune_text(train, key=key, seed=seed, **search)}
+    scored = []
+    for name, model in models.items():
+        rows = supervised.with_probability(model.transform(test), "score").select(key, "label", "prediction", "score")
+        auc = evaluate.auc_evaluator("label", "score").evaluate(rows)
+        scored.append(rows.select(key, F.lit(name).alias("model"), "label", "prediction", F.lit(float(auc)).alias("auc")))
+    return tables.union_all(*scored)
+
+
 # --- recommendation ----------------------------------------------------------
 
 
@@ -190,6 +207,15 @@ def recommend_model(ratings: DataFrame, new_ratings: DataFrame, **settings) -> R
     return fit_als(tables.union_all(ratings, new_ratings), **settings)
 
 
+def recommend_best_rank(
+    train: DataFrame, validation: DataFrame, ranks: Sequence[int] = (4, 8, 12), **settings
+) -> tuple[Recommender, int]:
+    """A model of the rank with the least validation error, fitted on both parts, and that rank."""
+    found = search_rank(train, validation, ranks, **settings)
+    rank = found.where("best").first()["rank"]
+    return fit_als(tables.union_all(train, validation), rank=rank, **settings), rank
+
+
 def recommend_with(
     fitted: Recommender,
     ratings: DataFrame,
