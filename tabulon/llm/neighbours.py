@@ -1,11 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by its ``prefix`` nearest pivots in order. It is posted in
-the inverted file of each of them, together with its order. A query looks into the
-files of its own pivots, measures what it finds by the footrule distance between the
-two orders (a pivot outside an order counts as the place after its end), and reranks all
-within ``max_footrule`` by their inner product. No number of candidates is limited.
-The prefix grows with the number of pivots, so that true neighbours go on sharing files.
+A vector is represented by its ``prefix`` nearest of the pivots, in order. Rows are dealt into blocks, and the
+rows of a block are posted in the inverted files of their pivots, each with the place that
+the pivot has in its order. A query goes through the files of its own pivots and adds up, row by row, how
+near the places are: that ranks the block by footrule distance between the orders (a pivot
+outside an order counts as the place after its end). The best of a block, a bounded share of it, are
+reranked by their inner product.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import by_batch, stored
+from tabulon.llm.common import by_batch, stored, sub_batches
+from tabulon.llm.topk import best_of
 
-#: Vectors, and queries, of one file that a task compares at a time.
-BLOCK = 4096
-ALL = -1  # the file that holds every vector
-FOUND = "query_id long, vec_id long, score double"
+#: Rows of one inverted file block, and queries of one cell at most; more queries make more cells.
+ROWS, MOST_QUERIES = 2048, 1 << 14
+#: Candidates of a query, as a multiple of the square root of the number of vectors.
+CANDIDATE_FACTOR = 12
+FOUND = "query long, vec_id long, score double"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -31,8 +33,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """Rows with an id and a finite vector other than zero: vec_id, vector as doubles."""
-    v = F.col(vector_col).cast("array<double>")
+    """Rows with an id and a finite vector other than zero: vec_id, vector (single precision stays so)."""
+    v = F.col(vector_col)
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        v = v.cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     return vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & good & F.exists(v, lambda x: x != 0)).select(
         F.col(id_col).cast("long").alias("vec_id"), v.alias("vector")
@@ -40,137 +44,128 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _with_order(vectors: DataFrame, pivots: np.ndarray, prefix: int) -> DataFrame:
-    """Add ``places``: the nearest pivots, nearest first, ties to the smaller number."""
+    """Add ``places``: the numbers of the nearest pivots as bytes, nearest first, ties to the smaller number."""
+    kind, names = _number_kind(len(pivots)), [*vectors.columns, "places"]
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = _matrix(batch.column(1)) @ pivots.T
-            places = np.argsort(-near, axis=1, kind="stable")[:, :prefix].astype(np.int32)
-            bounds = np.arange(0, places.size + 1, places.shape[1], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(places.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["vec_id", "vector", "places"])
-
-    return by_batch(vectors, order, "vec_id long, vector array<double>, places array<int>")
-
-
-def best_of_block(
-    ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-    query_places: np.ndarray, alone: np.ndarray, k: int, max_footrule: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` best of one block of a file for each query: query ids, ids and scores.
-
-    A query that is ``alone`` does not find its own id.
-    """
-    prefix = places.shape[1]
-    used, column = np.unique(query_places, return_inverse=True)
-    column = column.reshape(query_places.shape)
-    table = np.full((len(ids), int(max(places.max(), used[-1])) + 1), prefix + 1, np.int16)
-    table[np.arange(len(ids))[:, None], places] = np.arange(1, prefix + 1, dtype=np.int16)
-    table = np.ascontiguousarray(table[:, used])
-    own = np.arange(1, prefix + 1, dtype=np.int16)
-    near = queries @ vectors.T
-    out = [[], [], []]
-    for q in range(len(query_ids)):
-        shared = 2 * (prefix + 1 - np.maximum(table[:, column[q]], own)).sum(1)
-        found = np.flatnonzero((prefix * (prefix + 1) - shared <= max_footrule) & (~alone[q] | (ids != query_ids[q])))
-        if len(found) > k:
-            values = near[q, found]
-            found = found[values >= np.partition(values, len(found) - k)[len(found) - k] - 1e-9]
-        scores = (vectors[found] * queries[q]).sum(1)
-        best = np.lexsort((ids[found], -scores))[:k]
-        out[0].append(np.full(len(best), query_ids[q]))
-        out[1].append(ids[found][best])
-        out[2].append(scores[best])
-    return tuple(np.concatenate(x) for x in out)
-
-
-def _search(posted: DataFrame, k: int, max_footrule: int) -> DataFrame:
-    """Compare the vectors and queries that share a file and both blocks; both are rows of ``posted``."""
+        for batch in sub_batches(batches, 1 << 20):
+            near = -(_matrix(batch.column(1)).astype(float) @ pivots.T)
+            least = np.partition(near, prefix - 1, axis=1)[:, prefix - 1 : prefix]
+            places = np.argsort(np.where(near <= least, near, np.inf), axis=1, kind="stable")[:, :prefix].astype(kind)
+            packed = pa.array([row.tobytes() for row in places], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, packed], names)
+
+    kinds = [f"{c} {t}" for c, t in vectors.dtypes]
+    return by_batch(vectors, order, ", ".join([*kinds, "places binary"]))
+
+
+def _number_kind(pivots: int) -> type:
+    return np.uint8 if pivots <= 256 else np.uint16 if pivots <= 1 << 16 else np.uint32
+
+
+class PivotFiles:
+    """The inverted files of a block: per pivot the rows whose orders hold it, and at which place."""
+
+    def __init__(self, places: np.ndarray, pivots: int):
+        self.rows, self.prefix = places.shape
+        pivot = places.reshape(-1)
+        order = np.argsort(pivot, kind="stable")
+        self.row, self.place = order // self.prefix, (order % self.prefix).astype(np.int32)
+        self.first = np.searchsorted(pivot[order], np.arange(pivots + 1))
+
+    def nearness(self, own: np.ndarray) -> np.ndarray:
+        """Per row prefix * (prefix + 1) less the footrule distance to a query's order ``own``; 0 where no pivot is shared."""
+        out = np.zeros(self.rows, np.int32)
+        for place, pivot in enumerate(own.tolist()):
+            a, b = self.first[pivot], self.first[pivot + 1]
+            out[self.row[a:b]] += self.prefix - np.maximum(self.place[a:b], place)
+        return 2 * out
+
+
+def candidates_of(nearness: np.ndarray, wanted: int) -> np.ndarray:
+    """The ``wanted`` rows of least footrule distance; rows as far as the last of them come along, those without a shared pivot don't."""
+    if wanted >= len(nearness):
+        return np.arange(len(nearness))
+    least = np.partition(nearness, len(nearness) - wanted)[len(nearness) - wanted]
+    return np.flatnonzero(nearness >= max(least, 1))
+
+
+class Asked:
+    """The queries of a cell, each with the best vectors it has met so far."""
+
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, k: int, pivots: int, share: float | None):
+        self.keys, self.ids, self.vectors, self.places = keys, ids, vectors, places
+        self.k, self.pivots, self.share = k, pivots, share
+        self.best = [(np.empty(0), np.empty(0, np.int64))] * len(keys)
+        self.reranked = 0
+
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray) -> None:
+        """Rank a block by footrule distance for every query and rerank the first of it by inner product."""
+        wanted = len(ids) if self.share is None else max(self.k + 1, math.ceil(self.share * len(ids)))
+        files = PivotFiles(places, self.pivots) if wanted < len(ids) else None
+        for q in range(len(self.keys)):
+            found = candidates_of(files.nearness(self.places[q]), wanted) if files else np.arange(len(ids))
+            if len(found) <= self.k:  # hardly a shared pivot: the block has no order for this query
+                found = np.arange(len(ids))
+            self.reranked += len(found)
+            found = found[ids[found] != self.ids[q]]
+            scores = (vectors[found] * self.vectors[q]).sum(1)
+            held, held_ids = self.best[q]
+            if len(held) == self.k:
+                better = scores >= held[-1]
+                found, scores = found[better], scores[better]
+            if len(found):
+                scores, found = np.concatenate([held, scores]), np.concatenate([held_ids, ids[found]])
+                order = best_of(scores, found, self.k)
+                self.best[q] = scores[order], found[order]
+
+    def results(self) -> pa.RecordBatch:
+        counts = [len(scores) for scores, _ in self.best]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(self.keys, counts)),
+                pa.array(np.concatenate([ids for _, ids in self.best])),
+                pa.array(np.concatenate([scores for scores, _ in self.best])),
+            ],
+            ["query", "vec_id", "score"],
+        )
+
+
+def _search(dealt: DataFrame, cells: int, k: int, pivots: int, prefix: int, share: float | None) -> DataFrame:
+    """The ``k`` best of each cell for each of its queries; a cell's queries come first, then its rows as a stream."""
+    kind = _number_kind(pivots)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, parts = None, []
-
-        def found() -> Iterator[pa.RecordBatch]:
-            asks, ids, alone, vectors, places = (np.concatenate(x) for x in zip(*parts))
-            if asks.all() or not asks.any():
-                return
-            columns = best_of_block(
-                ids[~asks], vectors[~asks], places[~asks], ids[asks], vectors[asks], places[asks], alone[asks], k,
-                max_footrule,
-            )
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
-
+        cell, parts, asked = None, [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(i).to_numpy() for i in (0, 1, 2)], 1)
-            rest = (
-                batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(),
-                batch.column(5).to_numpy(zero_copy_only=False), _matrix(batch.column(6)), _matrix(batch.column(7)),
-            )
-            cuts = [0, *(np.flatnonzero(np.diff(keys, axis=0).any(1)) + 1), len(keys)]
-            for a, b in zip(cuts, cuts[1:]):
-                if tuple(keys[a]) != group:
-                    if parts:
-                        yield from found()
-                    group, parts = tuple(keys[a]), []
-                parts.append(tuple(x[a:b] for x in rest))
-        if parts:
-            yield from found()
+            cells, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int8)
+            cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(asks) != 0)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(cells)]):
+                if cells[a] != cell:
+                    if asked is not None:
+                        yield asked.results()
+                    cell, parts, asked = cells[a], [], None
+                for start in range(a, b, ROWS):
+                    part = batch.slice(start, min(ROWS, b - start))
+                    places = np.frombuffer(b"".join(part.column(5).to_pylist()), kind).reshape(-1, prefix)
+                    columns = part.column(3).to_numpy(), _matrix(part.column(4)).astype(float), places
+                    if asks[a]:
+                        parts.append((part.column(2).to_numpy(), *columns))
+                        continue
+                    if asked is None and parts:
+                        asked = Asked(*[np.concatenate(x) for x in zip(*parts)], k, pivots, share)
+                    if asked is not None:
+                        asked.meet(*columns)
+        if asked is not None:
+            yield asked.results()
 
     return (
-        posted.select("file", "block", "query_block", "asks", "vec_id", "alone", "vector", "places")
-        .repartition("file", "block", "query_block")
-        .sortWithinPartitions("file", "block", "query_block", "asks", "vec_id")
+        dealt.repartition(cells, "cell")
+        .sortWithinPartitions("cell", F.desc("asks"), "vec_id", "query")
         .transform(by_batch, search, FOUND)
     )
 
 
-def _blocks(entries: DataFrame, out: str) -> DataFrame:
-    """The number of blocks of each file."""
-    sizes = stored(entries.groupBy("file").agg(F.count(F.lit(1)).alias("n")), "files")
-    return sizes.select("file", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias(out))
-
-
-def _post(vectors: DataFrame, queries: DataFrame, files: Column) -> DataFrame:
-    """Rows of every file with queries: its vectors and its queries are each dealt into blocks, and each pair of blocks meets."""
-    entries, asked = (x.withColumn("file", F.explode(files)) for x in (vectors, queries))
-    sizes = _blocks(entries, "blocks").join(_blocks(asked, "query_blocks"), "file")
-
-    def dealt(blocks: str) -> Column:
-        return F.pmod(F.xxhash64("vec_id", "vector"), F.col(blocks)).cast("int")
-
-    def each(blocks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-
-    data = entries.join(sizes, "file").withColumn("block", dealt("blocks")).withColumn("query_block", each("query_blocks"))
-    asked = asked.join(sizes, "file").withColumn("block", each("blocks")).withColumn("query_block", dealt("query_blocks"))
-    data = data.withColumn("alone", F.lit(False)).withColumn("asks", F.lit(False))
-    return data.unionByName(asked.withColumn("asks", F.lit(True)))
-
-
-def _distinct_queries(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each query vector once, under its least id, and which query_id each of these (``asked``) stands for.
-
-    An id with several vectors stands for itself only and is searched ``alone``, without its own rows.
-    """
-    times = asked.groupBy("vec_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("vec_id", F.lit(True).alias("alone"))
-    asked = asked.join(times, "vec_id", "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
-    shared = asked.where(~F.col("alone"))
-    least = stored(shared.groupBy("vector").agg(F.min("vec_id").alias("asked")), "distinct-queries")
-    single = asked.where("alone").select("vec_id", "vector", "alone")
-    once = least.select(F.col("asked").alias("vec_id"), "vector", F.lit(False).alias("alone")).unionByName(single)
-    names = shared.join(least, "vector").select("asked", F.col("vec_id").alias("query_id"))
-    return once, names.unionByName(single.select(F.col("vec_id").alias("asked"), F.col("vec_id").alias("query_id")).distinct())
-
-
-def prefix_for(pivots: int) -> int:
-    """Places of an order: 16 up to a hundred pivots, and then as the fourth root of their number."""
-    return max(16, round(16 * (pivots / 100) ** 0.25))
-
-
 def nearest(
     vectors: DataFrame,
     queries: Column,
@@ -178,57 +173,67 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 20,
-    prefix: int | None = None,
-    max_footrule: int | None = None,
+    pivots: int = 256,
+    prefix: int = 64,
+    candidates: int | None = None,
+    exact: bool = False,
     seed: int = 11,
 ) -> DataFrame:
     """The ``k`` vectors with the largest inner product for each row where ``queries`` holds.
 
     Returns query_id, rank (from 1), vec_id, score (inner product in double precision),
-    nearest first, ties to the smaller id, the query's own row left out. Pivots are a
-    sample of about the square root of the number of vectors, the only thing that is
-    fitted on a sample and broadcast; every vector is posted. With a fixed prefix ever fewer
-    neighbours share a pivot as the pivots grow in number; ``prefix_for`` is used unless it is given. A file is
-    cut into blocks of about ``BLOCK`` vectors and its queries into as large ones, so that a hot pivot
-    has many tasks. Of equal vectors only the ``k`` + 1 smallest ids can be among the answers, so only
-    they are posted. Equal queries are searched once, for ``k`` + 1 answers, and each then drops its own id.
-    A query that found fewer than that is asked again against all vectors, in blocks.
+    nearest first, ties to the smaller id, the query's own row left out. The pivots, a
+    sample, are the only thing that is fitted on a sample and broadcast; every vector is posted.
+    ``candidates`` is the recall parameter: how many vectors a query is compared with in full, 12 times
+    the square root of their number unless given, so a share that falls as the table
+    grows. Each block gives its part of them. ``exact`` compares with all.
+
+    Blocks of rows grow with the square root of their number, and each meets each block of queries in one cell, so
+    no task holds a pivot's file as a whole. Of equal vectors only the ``k`` + 1 smallest ids can be among the
+    answers, so only they are posted.
 
     Null or zero vectors, vectors with null or non-finite components and rows without an id take
     no part, nor do vectors of another length than most. Rows with one id and one vector
-    count once. Further columns are not looked at. An empty table gives an empty result.
+    count once; an id with several vectors asks with all of them for one result. Further columns are
+    not looked at. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     own = usable(vectors, id_col, vector_col)
-    asked = usable(vectors.where(queries), id_col, vector_col)
     lengths = own.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     common = lengths.orderBy(F.desc("n"), "d").first()
+    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if common is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dimension, n = common["d"], common["n"]
-    own = own.where(F.size("vector") == dimension).distinct()
+        return nothing
+    own = own.where(F.size("vector") == common["d"]).distinct()
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     own = own.withColumn("same", same).where(F.col("same") <= k + 1).drop("same")
-    asked, names = _distinct_queries(stored(asked.where(F.size("vector") == dimension).distinct(), "queries"))
-    wanted = max(prefix or 16, math.isqrt(n))
-    sampled = own.orderBy(F.xxhash64(F.lit(seed), "vector"), "vec_id").limit(wanted)
-    pivots = np.array([row["vector"] for row in sampled.select("vector").collect()])
-    prefix = min(prefix or prefix_for(len(pivots)), len(pivots))
-    if max_footrule is None:
-        max_footrule = prefix * (prefix + 1) - prefix // 2
-    own = stored(_with_order(own, pivots, prefix), "orders")
-    alone = asked.where("alone").select("vec_id").distinct().withColumn("alone", F.lit(True))
-    asked = _with_order(asked.select("vec_id", "vector"), pivots, prefix).join(alone, "vec_id", "left")
-    asked = stored(asked.withColumn("alone", F.coalesce("alone", F.lit(False))), "orders")
-    found = stored(_search(_post(own, asked, F.col("places")), k + 1, max_footrule), "found").distinct()
-    enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k)
-    short = asked.join(enough, asked["vec_id"] == enough["query_id"], "left_anti")
-    if short.limit(1).count():
-        again = _search(_post(own, short, F.array(F.lit(ALL))), k + 1, prefix * (prefix + 1))
-        found = found.unionByName(again).distinct()
-    by_score = [F.desc("score"), "vec_id"]
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(*by_score))
-    found = found.withColumn("best", best).where(F.col("best") <= k + 1).select(F.col("query_id").alias("asked"), "vec_id", "score")
-    found = found.join(names, "asked").where(F.col("vec_id") != F.col("query_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*by_score))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    asked = usable(vectors.where(queries), id_col, vector_col).where(F.size("vector") == common["d"]).distinct()
+    sampled = own.orderBy(F.xxhash64(F.lit(seed), F.col("vector").cast("array<double>")), "vec_id").limit(pivots)
+    chosen = np.array([row["vector"] for row in sampled.select("vector").collect()], float)
+    prefix = min(prefix, len(chosen))
+    own = stored(_with_order(own, chosen, prefix), "orders")
+    asked = stored(_with_order(asked, chosen, prefix).withColumn("query", F.xxhash64("vec_id", "vector")), "asked")
+    n, n_queries = own.count(), asked.count()
+    if not n_queries:
+        return nothing
+    wanted = math.ceil(CANDIDATE_FACTOR * math.sqrt(n)) if candidates is None else candidates
+    size = max(512, 8 * math.isqrt(n))
+    blocks, query_blocks = math.ceil(n / size), math.ceil(n_queries / min(size, MOST_QUERIES))
+
+    def dealt(column: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(parts))
+
+    def each(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    held = own.select("*", dealt("vec_id", blocks).alias("block"), each(query_blocks).alias("query_block"), F.lit(0).cast("long").alias("query"))
+    ask = asked.select("*", dealt("query", query_blocks).alias("query_block"), each(blocks).alias("block"))
+    cell = (F.col("block") * query_blocks + F.col("query_block")).alias("cell")
+    columns = ["query", "vec_id", "vector", "places"]
+    both = held.select(cell, F.lit(False).alias("asks"), *columns).unionAll(ask.select(cell, F.lit(True).alias("asks"), *columns))
+    found = _search(both, blocks * query_blocks, k, len(chosen), prefix, None if exact else wanted / n)
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    found = found.withColumn("place", place).where(F.col("place") <= k)
+    named = found.join(asked.select("query", F.col("vec_id").alias("query_id")), "query").select("query_id", "vec_id", "score").distinct()
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return named.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
