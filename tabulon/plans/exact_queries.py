@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import features, recommend, supervised
+from tabulon.operators import factors, features, recommend, supervised
 from tabulon.plans import inputs, jobs
 from tabulon.plans.model_queries import _one_hot_priority
 from tabulon.plans.recommend_queries import _EXACT, _LEVELS_SQL, _levels
@@ -65,6 +65,27 @@ def als_best_rank_exact(spark: SparkSession, folder: str) -> DataFrame:
     return fitted.predict(pairs).select("user_id", "item_id", F.lit(rank).alias("rank"), rounded("prediction", 1).alias("prediction"))
 
 
+@query(
+    "factors_exact",
+    """WITH pairs AS (SELECT DISTINCT o_custkey % 100 AS user_id, l_suppkey % 40 AS item_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+         rated AS (SELECT user_id, item_id, (1.0 + user_id % 5) * (2.0 + item_id % 7) AS rating, (user_id * 7 + item_id * 3) % 5 = 0 AND item_id > 0 AS held_out FROM pairs)
+       SELECT user_id, item_id, round(rating::DOUBLE, 2) + 0.0 AS prediction FROM rated
+       WHERE held_out AND user_id IN (SELECT user_id FROM rated WHERE NOT held_out) AND item_id IN (SELECT item_id FROM rated WHERE NOT held_out)""",
+)
+def factors_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Levels of customer classes and supplier classes, learnt from all order lines (a pair as often as it was bought)."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        (F.col("o_custkey") % 100).alias("user_id"), (F.col("l_suppkey") % 40).alias("item_id")
+    )
+    rated = sold.withColumn("rating", (1.0 + F.col("user_id") % 5) * (2.0 + F.col("item_id") % 7))
+    held_out = ((F.col("user_id") * 7 + F.col("item_id") * 3) % 5 == 0) & (F.col("item_id") > 0)
+    model = factors.fit_factors(rated.where(~held_out), rank=1, iterations=5, reg=1e-9)
+    pairs = rated.where(held_out).select("user_id", "item_id").distinct()
+    return model.predict(pairs).withColumn("prediction", rounded("prediction", 2))
+
+
 @query(
     "als_loaded_exact",
     f"""WITH {_LEVELS_SQL} SELECT user_id, item_id, round(rating, 1) + 0.0 AS prediction FROM levels
