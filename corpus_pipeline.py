@@ -1,8 +1,12 @@
 """From documents to training sequences: five stages, each on all that the one before it kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``, the last the training sequences. ``run`` writes each stage's result to the shared scratch folder
-and reads it back for the next one.
+return the columns of ``documents``, the last the training sequences. ``run`` writes each stage's
+result to the shared scratch folder and reads it back for the next one.
+
+Null and empty texts fail the quality rules. Rows are judged one by one: repeated rows and
+rows that share an id, or have none, each pass or fail for their own text. Empty tables make empty results,
+and columns beyond those of ``documents`` are left out by the first stage.
 """
 
 from __future__ import annotations
@@ -60,8 +64,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL can't run the tokenizer. The tests compare the row counts of the stages by inequalities, the packing with the
-#: library's ids, and the near-dedup threshold on a small example; what the other stages keep is tested by operator only.
+#: SQL can't run the tokenizer. The tests hold the first four stages against SQL, row by row, each on the input it gets,
+#: and the packing against the library's ids.
 ORACLE_SQL = None
 
 
