@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions import prefix_label
-from tabulon.operators import factors, features, recommend, supervised
+from tabulon.operators import factors, features, recommend, supervised, words
 from tabulon.plans import inputs, jobs
 from tabulon.plans.model_queries import _one_hot_priority
 from tabulon.plans.recommend_queries import _EXACT, _LEVELS_SQL, _levels
@@ -201,6 +201,35 @@ def gbt_rounds_exact(spark: SparkSession, folder: str) -> DataFrame:
     return model.transform(rows).groupBy("status", rounded("prediction", 3).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _boosted_class_sql(rounds: int, step: float) -> str:
+    """The same for a label of -1 or 1: residuals are the slopes of the logistic loss."""
+    steps = []
+    for r in range(rounds):
+        residual, weight = ("2 * p - 1", 1.0) if r == 0 else ("4 * (p / (1 + exp(2 * fit)) - (1 - p) / (1 + exp(-2 * fit)))", step)
+        steps.append(f"""r{r} AS (SELECT status, n, p, fit, {residual} AS m FROM f{r}),
+  s{r} AS (SELECT *, row_number() OVER w AS k, sum(n) OVER w AS nl, sum(n * m) OVER w AS sl, sum(n) OVER () AS nt, sum(n * m) OVER () AS st
+           FROM r{r} WINDOW w AS (ORDER BY m)),
+  c{r} AS (SELECT k AS cut, sl / nl AS low, (st - sl) / (nt - nl) AS high FROM s{r} WHERE nl < nt
+           ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1),
+  f{r + 1} AS (SELECT status, n, p, fit + {weight}::DOUBLE * CASE WHEN k <= cut THEN low ELSE high END AS fit FROM s{r}, c{r})""")
+    return f"""WITH d AS (SELECT o_orderstatus AS status, (o_totalprice > CASE o_orderstatus WHEN 'F' THEN 200000 WHEN 'O' THEN 300000 ELSE 100000 END)::INTEGER AS y FROM orders),
+  f0 AS (SELECT status, count(*) AS n, avg(y) AS p, 0.0::DOUBLE AS fit FROM d GROUP BY 1), {", ".join(steps)}
+  SELECT status, n, (fit > 0)::INTEGER::DOUBLE AS prediction, round(1 / (1 + exp(-2 * fit)), 6) + 0.0 AS p FROM f{rounds}"""
+
+
+@query("gbt_class_rounds_exact", _boosted_class_sql(rounds=4, step=0.1))
+def gbt_class_rounds_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Four rounds of boosted stumps for a label of two classes, with the probability they come to."""
+    orders = inputs.priced_orders(spark, folder)
+    bound = F.when(F.col("status") == "F", 200_000).when(F.col("status") == "O", 300_000).otherwise(100_000)
+    rows = orders.withColumn("label", (F.col("label") > bound).cast("double"))
+    indexed = features.fit_string_index(rows, ["status"], ["status_index"]).transform(rows)
+    rows = features.vectorised(indexed, ["status_index"])
+    model = supervised.tree_classifier("boosted", "features", "label", maxDepth=1, maxIter=4, stepSize=0.1).fit(rows)
+    scored = supervised.with_probability(model.transform(rows))
+    return scored.groupBy("status", "prediction", rounded("p", 6).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- text --------------------------------------------------------------------
 
 
@@ -250,3 +279,20 @@ def text_tuned_untuned(spark: SparkSession, folder: str) -> DataFrame:
         rounded("auc", 6).alias("tuned_auc"),
         (F.col("auc") >= F.col("plain_auc")).alias("untuned_is_no_better"),
     )
+
+
+@query(
+    "words_alike",
+    """WITH t AS (SELECT DISTINCT l_orderkey, l_orderkey % 3 AS side, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey),
+         used AS (SELECT side, p_brand FROM t JOIN (SELECT l_orderkey FROM t GROUP BY 1 HAVING count(*) > 1) USING (l_orderkey))
+       SELECT DISTINCT side || ' ' || p_brand AS word, side::VARCHAR AS side_of_nearest FROM used""",
+)
+def words_alike(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as sentences of brands, in three languages: the word nearest to each is of its own language."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    parts = read_table(spark, folder, "part").select("p_partkey", "p_brand")
+    word = F.concat_ws(" ", (F.col("l_orderkey") % 3).cast("string"), "p_brand")
+    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    sentences = sold.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(word)).alias("words"))
+    vectors = words.fit_word_tables(sentences, "words", size=8, window=8, rounds=4)
+    return words.alike(vectors).select("word", F.substring_index("other", " ", 1).alias("side_of_nearest"))
