@@ -206,7 +206,7 @@ def nearest(
         return nothing
     own = own.where(F.size("vector") == common["d"]).distinct()
     same = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
-    own = own.withColumn("same", same).where(F.col("same") <= k + 1).drop("same")
+    own = stored(own.withColumn("same", same).where(F.col("same") <= k + 1).drop("same"), "vectors")
     asked = usable(vectors.where(queries), id_col, vector_col).where(F.size("vector") == common["d"]).distinct()
     sampled = own.orderBy(F.xxhash64(F.lit(seed), F.col("vector").cast("array<double>")), "vec_id").limit(pivots)
     chosen = np.array([row["vector"] for row in sampled.select("vector").collect()], float)
@@ -218,7 +218,7 @@ def nearest(
         return nothing
     wanted = math.ceil(CANDIDATE_FACTOR * math.sqrt(n)) if candidates is None else candidates
     size = max(512, 8 * math.isqrt(n))
-    blocks, query_blocks = math.ceil(n / size), math.ceil(n_queries / min(size, MOST_QUERIES))
+    blocks, query_blocks = math.ceil(n / size), math.ceil(n_queries / min(4 * size, MOST_QUERIES))
 
     def dealt(column: str, parts: int) -> Column:
         return F.pmod(F.xxhash64(F.lit(seed), column), F.lit(parts))
