@@ -111,6 +111,17 @@ def test_quality(odd, empty):
     assert quality(empty).collect() == []
 
 
+def test_quality_guard(spark):
+    """Words unlike the others' are held against a document only if it has enough of them to judge by."""
+    plain = " ".join(f"the w{i} of" for i in range(60))
+    rows = [(i, plain, "en") for i in range(30)]
+    rows += [(100, " ".join(f"{i}#{i * 7}%" for i in range(70)), "en"), (101, " ".join(f"{i}#{i * 7}%" for i in range(120)), "en")]
+    found = by_id(quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert found[100]["class_distance"] > 0.25 and found[100]["kept"] and not found[100]["base_failed"]
+    assert found[101]["class_distance"] > 0.25 and not found[101]["kept"] and not found[101]["base_failed"]
+    assert found[1]["kept"]
+
+
 def test_token_files(odd, empty, spark, tmp_path):
     path = str(tmp_path / "t")
     write_tokens(odd, path, WORDS, keeps_blanks=False, parts=3)
