@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a permutation index.
 
 A vector is represented by its ``prefix`` nearest of the pivots, in order. Rows are dealt into blocks, and the
-rows of a block are posted in the inverted files of their pivots, each with the place that
+rows of a block are posted in the inverted files of the pivots, each with the place that
 the pivot has in its order. A query goes through the files of its own pivots and adds up, row by row, how
 near the places are: that ranks the block by footrule distance between the orders (a pivot
 outside an order counts as the place after its end). The best of a block, a bounded share of it, are
@@ -64,22 +64,19 @@ def _number_kind(pivots: int) -> type:
 
 
 class PivotFiles:
-    """The inverted files of a block: per pivot the rows whose orders hold it, and at which place."""
+    """The inverted files of a block: per pivot an entry for each row, its place in the row's order, or ``prefix`` if it isn't there."""
 
     def __init__(self, places: np.ndarray, pivots: int):
-        self.rows, self.prefix = places.shape
-        pivot = places.reshape(-1)
-        order = np.argsort(pivot, kind="stable")
-        self.row, self.place = order // self.prefix, (order % self.prefix).astype(np.int32)
-        self.first = np.searchsorted(pivot[order], np.arange(pivots + 1))
+        rows, self.prefix = places.shape
+        kind, self.wide = (np.uint8, np.uint16) if self.prefix < 256 else (np.uint16, np.uint64)
+        self.files = np.full((pivots, rows), self.prefix, kind)
+        self.own = np.arange(self.prefix, dtype=kind)[:, None]
+        self.files[places.T, np.arange(rows)] = self.own
 
     def nearness(self, own: np.ndarray) -> np.ndarray:
         """Per row prefix * (prefix + 1) less the footrule distance to a query's order ``own``; 0 where no pivot is shared."""
-        out = np.zeros(self.rows, np.int32)
-        for place, pivot in enumerate(own.tolist()):
-            a, b = self.first[pivot], self.first[pivot + 1]
-            out[self.row[a:b]] += self.prefix - np.maximum(self.place[a:b], place)
-        return 2 * out
+        place = np.maximum(self.files[own], self.own)
+        return 2 * (self.prefix * self.prefix - np.add.reduce(place, axis=0, dtype=self.wide).astype(np.int64))
 
 
 def candidates_of(nearness: np.ndarray, wanted: int) -> np.ndarray:
