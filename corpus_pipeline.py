@@ -27,7 +27,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality(docs, keep_columns=True).where("kept").select(*COLUMNS)
+    return quality(docs, min_words=50, keep_columns=True).where("kept").select(*COLUMNS)
 
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
