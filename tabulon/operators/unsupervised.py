@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.features import term_table
+from tabulon.operators.mixture import Mixture, fit_blocks
 from tabulon.session import held, scratch_path, written
 
 # Applying rules inside the library ships every rule to every task; here they stay tables.
@@ -31,16 +32,14 @@ def centre_table(spark: SparkSession, model: mcl.KMeansModel) -> DataFrame:
 
 def fit_mixture(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 0, max_iter: int = 100
-) -> mcl.GaussianMixtureModel:
-    with held(df.select(features), balanced=True) as (rows,):
-        return mcl.GaussianMixture(featuresCol=features, k=k, seed=seed, maxIter=max_iter).fit(rows)
+) -> Mixture:
+    return fit_blocks(df, features, k, seed, max_iter)
 
 
-def mixture_table(spark: SparkSession, model: mcl.GaussianMixtureModel) -> DataFrame:
+def mixture_table(spark: SparkSession, model: Mixture) -> DataFrame:
     """``cluster, weight, axis, mean, variance``: the diagonal of each covariance."""
     rows = []
-    for cluster, (weight, gaussian) in enumerate(zip(model.weights, model.gaussians)):
-        mean, cov = gaussian.mean.toArray(), gaussian.cov.toArray()
+    for cluster, (weight, mean, cov) in enumerate(zip(model.weights, model.means, model.covariances)):
         rows += [
             (cluster, float(weight), axis, float(mean[axis]), float(cov[axis][axis]))
             for axis in range(len(mean))
