@@ -484,8 +484,7 @@ def _line_features(spark: SparkSession, folder: str) -> jobs.TabularData:
 def _regressed(spark: SparkSession, folder: str, kind: str, **params) -> DataFrame:
     """Test metrics of an indexed tree regressor on the insurance table."""
     parts = _with_parts(_line_features(spark, folder).rows, "id")
-    model = supervised.fit_indexed_regressor(parts, kind, "part = 'train'", max_categories=32, **params)
-    found = evaluate.regression_metrics(model.transform(parts.where("part = 'test'")))
+    found = supervised.indexed_regressor_metrics(parts, kind, "part = 'train'", "part = 'test'", max_categories=32, **params)
     return _rounded_all(found, 4, "mse", "rmse", "mae", "r2", "explained_variance")
 
 
