@@ -50,15 +50,16 @@ class Mixture:
 
 
 def _chances(x: np.ndarray, mixture: Mixture, densities: list[tuple[float, np.ndarray]]) -> np.ndarray:
+    """One line per cluster, for one column of ``x`` per row."""
     parts = []
     for weight, mean, (level, root) in zip(mixture.weights, mixture.means, densities):
-        z = (x - mean) @ root.T
-        parts.append(_TINY + weight * np.exp(level - 0.5 * np.einsum("ij,ij->i", z, z)))
-    return np.column_stack(parts)
+        z = root @ (x - mean[:, None])
+        parts.append(_TINY + weight * np.exp(level - 0.5 * (z * z).sum(0)))
+    return np.stack(parts)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of different rows, each row with how often it comes in its block."""
+    """Blocks of different rows, component by component, each row with how often it comes in its block."""
     parts, n = [], 0
 
     def block() -> pa.RecordBatch:
@@ -67,7 +68,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]).any(1)])
         times = np.diff(np.r_[first, len(x)]).astype(float)
         return pa.RecordBatch.from_arrays(
-            [pa.array([x.shape[1]], pa.int32()), pa.array([x[first].tobytes()]), pa.array([times.tobytes()])], ["width", "numbers", "times"]
+            [pa.array([x.shape[1]], pa.int32()), pa.array([x[first].T.tobytes()]), pa.array([times.tobytes()])], ["width", "numbers", "times"]
         )
 
     for batch in batches:
@@ -93,17 +94,17 @@ def _round(blocks: DataFrame, mixture: Mixture) -> Mixture:
             for width, numbers, times in zip(*[column.to_pylist() for column in batch.columns]):
                 if width != d:
                     raise ValueError("a mixture needs vectors of one length")
-                all_x, all_times = np.frombuffer(numbers).reshape(-1, d), np.frombuffer(times)
-                for start in range(0, len(all_x), ROWS):
-                    x, n = all_x[start : start + ROWS], all_times[start : start + ROWS]
+                all_x, all_times = np.frombuffer(numbers).reshape(d, -1), np.frombuffer(times)
+                for start in range(0, len(all_times), ROWS):
+                    x, n = all_x[:, start : start + ROWS], all_times[start : start + ROWS]
                     chances = _chances(x, mixture, densities)
-                    whole = chances.sum(1)
+                    whole = chances.sum(0)
                     total += n @ np.log(whole)
-                    shares = chances * (n / whole)[:, None]
-                    weights += shares.sum(0)
-                    means += shares.T @ x
+                    shares = chances * (n / whole)
+                    weights += shares.sum(1)
+                    means += shares @ x.T
                     for c in range(k):
-                        squares[c] += (x * shares[:, c : c + 1]).T @ x
+                        squares[c] += (x * shares[c]) @ x.T
         sums = np.concatenate([[total], weights, means.ravel(), squares.ravel()])
         lists = pa.ListArray.from_arrays(pa.array([0, len(sums)], pa.int32()), pa.array(sums))
         yield pa.RecordBatch.from_arrays([lists], ["sums"])
