@@ -36,7 +36,7 @@ ORDER_0_SHARE = TOTAL >> np.uint64(4)  # order 0 keeps at least this much of the
 LEAST_WIDTH = 16  # so that an id keeps a width within that share
 SLOT_BITS = 18
 REBUILD = 16
-FIND_BITS = 8  # values of order 0 that share an entry of the table where a search begins
+FIND_BITS = 7  # values of order 0 that share an entry of the table where a search begins
 
 
 #: Confidence after a wrong prediction (halved; 1 for the id that takes the place of a doubtful one) and after a right one.
@@ -70,9 +70,10 @@ class _Models:
     def find(self, value: np.ndarray) -> np.ndarray:
         """The id of order 0 whose part of the interval holds each value."""
         if self.starts is None:
-            steps = np.arange(0, int(TOTAL), 1 << FIND_BITS, dtype=np.uint64)
-            self.starts = (np.searchsorted(self.cumulated, steps, "right") - 1).astype(np.int32)
-        found = self.starts[value >> np.uint64(FIND_BITS)]
+            entries = 1 << BITS - FIND_BITS
+            first = (self.cumulated + np.uint64((1 << FIND_BITS) - 1)) >> np.uint64(FIND_BITS)  # entry that begins there or later
+            self.starts = np.cumsum(np.bincount(first.astype(np.intp), minlength=entries + 1)[:entries]) - 1
+        found = self.starts.take((value >> np.uint64(FIND_BITS)).astype(np.intp))
         late = np.flatnonzero(self.cumulated[found + 1] <= value)
         while len(late):
             found[late] += 1
@@ -82,31 +83,37 @@ class _Models:
     def predict(self, lanes: int) -> None:
         """For the first ``lanes`` lanes: the ids named by order 1 and 2, and their shares."""
         last, before = self.last[:lanes], self.before[:lanes]
-        slot = ((before * 0x9E3779B1 + last * 0x85EBCA77) >> 7) & ((1 << SLOT_BITS) - 1)
+        slot = before * 0x9E3779B1
+        slot += last * 0x85EBCA77
+        slot >>= 7
+        slot &= (1 << SLOT_BITS) - 1
         self.slots = (last, slot)
-        self.id1, self.id2 = self.named[0][last], self.named[1][slot]
-        self.trust1, self.trust2 = self.trust[0][last], self.trust[1][slot]
-        state = (self.id1 == self.id2).astype(np.int16) * (LEVELS * LEVELS)
-        state += self.trust2 * np.int16(LEVELS)
-        state += self.trust1
+        self.id1, self.id2 = self.named[0].take(last), self.named[1].take(slot)
+        self.trust1, self.trust2 = self.trust[0].take(last), self.trust[1].take(slot)
+        confidence = self.trust2 * np.uint8(LEVELS)  # up to 255 with the next line
+        confidence += self.trust1
+        state = (self.id1 == self.id2).astype(np.intp)
+        state *= LEVELS * LEVELS
+        state += confidence
         self.state = state
         free = int(TOTAL - ORDER_0_SHARE)
         part = 2 * self.outcomes.sum(1) + 3
         shares = ((2 * self.outcomes[:, 1:] + 1) * free // part[:, None]).astype(np.uint64)
-        self.share2, self.both = shares[:, 0][state], shares.sum(1)[state]
+        self.share2, self.both = shares[:, 0].take(state), shares.sum(1).take(state)
         self.rest = TOTAL - self.both
+        self.shares_left = bool(shares.all())  # no share was rounded down to nothing
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``hit1``: order 1 was right and order 2 was not."""
-        outcome = self.state * np.int16(3)
+        outcome = self.state * 3
         outcome += hit2
-        outcome += hit1 * np.int16(2)
+        outcome += hit1 * np.uint8(2)
         self.outcomes += np.bincount(outcome, minlength=self.outcomes.size).reshape(self.outcomes.shape)
         for k, (name, trust) in enumerate(((self.id1, self.trust1), (self.id2, self.trust2))):
             right = name == ids
             # Of lanes in the same context the last one counts, in both directions.
             self.named[k][self.slots[k]] = np.where(right | (trust >= 2), name, ids)
-            self.trust[k][self.slots[k]] = _NEXT_TRUST[right * np.uint8(LEVELS) + trust]
+            self.trust[k][self.slots[k]] = _NEXT_TRUST.take(right * np.uint8(LEVELS) + trust)
         lanes = len(ids)
         self.before[:lanes] = self.last[:lanes]
         self.last[:lanes] = ids
@@ -129,24 +136,29 @@ def _narrow(low: np.ndarray, size: np.ndarray, start: np.ndarray, width: np.ndar
     size *= width
 
 
-def _full(low: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
-    """The lanes that have a word to give, again and again until none has.
+def _full(low: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The lanes that have a word to give, and their ``low``, again and again until none has.
 
     A lane gives its top word when that can change no more, or when the interval is
     so narrow that it has to be cut where the top word would change. The caller
     moves the word while the lane still has its old ``low``.
     """
-    at = np.arange(len(low))
+    at, lo, sz = None, low, size
     while True:
-        lo, sz = low[at], size[at]
-        same = (lo ^ (lo + sz)) < TOP
+        same = lo + sz
+        same ^= lo
+        same = same < TOP
         some = np.flatnonzero(same | (sz < LEAST))
         if not len(some):
             return
-        at, lo, sz, same = at[some], lo[some], sz[some], same[some]
-        yield at
-        low[at] = lo << WORD_BITS
-        size[at] = np.where(same, sz, (~lo + ONE) & (LEAST - ONE)) << WORD_BITS
+        at, lo, sz = some if at is None else at[some], lo[some], sz[some]
+        yield at, lo
+        cut = np.flatnonzero(~same[some])
+        if len(cut):
+            sz[cut] = (~lo[cut] + ONE) & (LEAST - ONE)
+        lo <<= WORD_BITS
+        sz <<= WORD_BITS
+        low[at], size[at] = lo, sz
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,22 +177,32 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
     for t in range(length):
         active = lanes if t < last_lane else lanes - 1
         x, lo, sz = steps[t, :active], low[:active], size[:active]
+        place = x.astype(np.intp)
         models.predict(active)
-        hit2 = (models.id2 == x) & (models.share2 > 0)
-        hit1 = (models.id1 == x) & ~hit2 & (models.both > models.share2)
-        start = models.cumulated[x] * models.rest >> SHIFT
-        width = (models.cumulated[x + 1] * models.rest >> SHIFT) - start
+        hit2, hit1 = models.id2 == x, models.id1 == x
+        if not models.shares_left:
+            hit2 &= models.share2 > 0
+            hit1 &= models.both > models.share2
+        hit1 &= ~hit2
+        start = models.cumulated.take(place)
+        start *= models.rest
+        start >>= SHIFT
+        width = models.cumulated[1:].take(place)
+        width *= models.rest
+        width >>= SHIFT
+        width -= start
         start += models.both
         start = np.where(hit1, models.share2, start)
         start[hit2] = 0
         width = np.where(hit1, models.both - models.share2, width)
         width = np.where(hit2, models.share2, width)
         _narrow(lo, sz, start, width)
-        for out in _full(lo, sz):
-            if used[out].max() >= words.shape[1] - 4:
+        for out, top in _full(lo, sz):
+            at = used[out]
+            if at.max() >= words.shape[1] - 4:
                 words = np.pad(words, ((0, 0), (0, words.shape[1])))
-            words[out, used[out]] = lo[out] >> HIGH
-            used[out] += 1
+            words[out, at] = top >> HIGH
+            used[out] = at + 1
         models.learn(x, hit2, hit1)
     ending = low + np.uint64((1 << 32) - 1)  # two words that lie within what is left
     for k in (48, 32):
@@ -196,11 +218,11 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, alphabet: int) -> np
     if not lanes:
         return np.empty(0, np.uint32)
     models = _Models(alphabet, lanes)
-    stream = np.zeros((lanes, int(used.max()) + 8), np.uint64)
+    stream = np.zeros((lanes, int(used.max()) + 8), np.uint16)
     stream[np.arange(stream.shape[1]) < used[:, None].astype(np.int64)] = words
     code = np.zeros(lanes, np.uint64)
     for k in range(4):
-        code = code << WORD_BITS | stream[:, k]
+        code = code << WORD_BITS | stream[:, k].astype(np.uint64)
     place = np.full(lanes, 4)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
     steps = np.zeros((length, lanes), np.int32)
@@ -214,21 +236,21 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, alphabet: int) -> np
         named = value < models.both
         hit1 = named & ~hit2
         x = np.where(hit2, models.id2, models.id1)
-        start, width = np.where(hit2, 0, models.share2).astype(np.uint64), np.where(hit2, models.share2, models.both - models.share2)
+        start, width = np.where(hit2, np.uint64(0), models.share2), np.where(hit2, models.share2, models.both - models.share2)
         other = np.flatnonzero(~named)
         if len(other):
-            rest = models.rest[other]
-            inside = value[other] - models.both[other] + ONE
+            rest, both = models.rest[other], models.both[other]
+            inside = value[other] - both + ONE
             found = models.find((inside * TOTAL - ONE) // rest)
             x[other] = found
-            begin = models.cumulated[found] * rest >> SHIFT
-            width[other] = (models.cumulated[found + 1] * rest >> SHIFT) - begin
-            start[other] = begin + models.both[other]
+            begin = models.cumulated.take(found) * rest >> SHIFT
+            width[other] = (models.cumulated[1:].take(found) * rest >> SHIFT) - begin
+            start[other] = begin + both
         _narrow(lo, sz, start, width)
-        for out in _full(lo, sz):
-            at = np.minimum(place[out], stream.shape[1] - 1)
-            cd[out] = cd[out] << WORD_BITS | stream[out, at]
-            place[out] += 1
+        for out, _ in _full(lo, sz):
+            at = place[out]
+            cd[out] = cd[out] << WORD_BITS | stream[out, np.minimum(at, stream.shape[1] - 1)].astype(np.uint64)
+            place[out] = at + 1
         steps[t, :active] = x
         models.learn(x, hit2, hit1)
     return steps.T.reshape(-1)[:n].astype(np.uint32)

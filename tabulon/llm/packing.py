@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import by_batch, offsets_before, stored, sub_batches
 from tabulon.llm.tokens import encoder
 
+#: Pieces of text that a worker remembers: it lies beside a JVM that the stages before have filled.
+PACK_UNITS = 400_000
+
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "bucket int, part int, place long"
@@ -41,7 +44,7 @@ def cut_documents(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         reached = [0] * longest.bit_length()
-        encode = encoder(path, keeps_blanks).encode
+        encode = encoder(path, keeps_blanks, PACK_UNITS).encode
         for batch in sub_batches(batches):
             ids, counts = encode(batch.column(1).to_pylist())
             ids = np.ascontiguousarray(ids, "<u4")

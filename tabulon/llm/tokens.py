@@ -15,7 +15,7 @@ from itertools import chain
 import numpy as np
 
 END_ID = 2
-#: Distinct pieces kept per Python worker before the cache starts anew.
+#: Distinct pieces kept per Python worker (about 300 bytes each) before all but the most frequent half go.
 CACHE_UNITS = 1_000_000
 
 #: Words of letters up to here hold no character that the library's splitter could see differently.
@@ -57,21 +57,44 @@ class UnitEncoder:
     blanks and line ends only separate (word level).
     """
 
-    def __init__(self, path: str, keeps_blanks: bool):
+    def __init__(self, path: str, keeps_blanks: bool, cache_units: int = CACHE_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keeps_blanks = keeps_blanks
+        self.keeps_blanks, self.cache_units = keeps_blanks, cache_units
         self.tails = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ",."}
-        self._reset()
-
-    def _reset(self) -> None:
         self.used, self.pending = 0, []
-        self.later = _Numbers(self, " " if self.keeps_blanks else "")
-        self.first = _Numbers(self, "") if self.keeps_blanks else self.later
+        self.later = _Numbers(self, " " if keeps_blanks else "")
+        self.first = _Numbers(self, "") if keeps_blanks else self.later
         self.pool = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the pieces that were used most and more than once; their use counts half from then on."""
+        most = np.argsort(-self.uses, kind="stable")[: self.cache_units // 2]
+        kept = np.sort(most[self.uses[most] > 1])
+        numbers = np.full(self.used, -1)
+        numbers[kept] = np.arange(len(kept))
+        places = numbers.tolist()
+        for names in (self.later, self.first) if self.keeps_blanks else (self.later,):
+            left = [(key, places[n]) for key, n in names.items() if places[n] >= 0]
+            names.clear()
+            names.update(left)
+        self.pool, lengths = self._ids_of(kept)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        self.uses = self.uses[kept] >> 1
+        self.used = len(kept)
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered pieces one after the other, and the number of ids of each."""
+        begin = self.starts[numbers]
+        length = self.starts[numbers + 1] - begin
+        reached = np.cumsum(length)
+        source = np.repeat(begin - reached + length, length)
+        source += np.arange(len(source))
+        return self.pool[source], length
 
     def _plain_ids(self, unit: str) -> list[int] | None:
         """Ids of a Latin word, perhaps with a blank before and a comma or full stop after it.
@@ -91,6 +114,10 @@ class UnitEncoder:
             text = unit[: len(unit) - len(tail)].encode().decode("latin-1").translate(_BYTE_LETTERS)
         else:
             return None  # normal forms and lower case are left to the library
+        if tail and (unit[0] == " ") == self.keeps_blanks:
+            known = self.later.get(word, self.used)
+            if known < len(self.starts) - 1:  # its ids are there already
+                return self.pool[self.starts[known] : self.starts[known + 1]].tolist() + self.tails[tail]
         ids = [t.id for t in self.tokenizer.model.tokenize(text)]
         return ids + self.tails[tail] if tail else ids
 
@@ -126,8 +153,8 @@ class UnitEncoder:
 
         ``end_id`` is appended to each text's ids. Null counts as the empty text.
         """
-        if self.used > CACHE_UNITS:
-            self._reset()
+        if self.used > self.cache_units:
+            self._shrink()
         numbers, sizes = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             found = self._units(text or "")
@@ -136,25 +163,24 @@ class UnitEncoder:
         if self.pending:
             self._flush()
         flat = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
-        begin = self.starts[flat]
-        length = self.starts[flat + 1] - begin
+        uses = np.bincount(flat, minlength=self.used)
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        ids, length = self._ids_of(flat)
         reached = np.concatenate([[0], np.cumsum(length)])
         units = np.concatenate([[0], np.cumsum(sizes)])
         counts = reached[units[1:]] - reached[units[:-1]]
-        source = np.repeat(begin - reached[:-1], length)
-        source += np.arange(reached[-1])
-        ids = self.pool[source]
         if end_id is None:
             return ids, counts
         return np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32, copy=False), counts + 1
 
 
-_ENCODERS: dict[tuple[str, bool], UnitEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], UnitEncoder] = {}
 
 
-def encoder(path: str, keeps_blanks: bool) -> UnitEncoder:
+def encoder(path: str, keeps_blanks: bool, cache_units: int = CACHE_UNITS) -> UnitEncoder:
     """The encoder of this Python worker; later tasks of the worker find its cache filled."""
-    key = (path, keeps_blanks)
+    key = (path, keeps_blanks, cache_units)
     if key not in _ENCODERS:
-        _ENCODERS[key] = UnitEncoder(path, keeps_blanks)
+        _ENCODERS[key] = UnitEncoder(*key)
     return _ENCODERS[key]
