@@ -13,6 +13,9 @@ from tabulon.session import held, scratch_path, written
 
 # Applying rules inside the library ships every rule to every task; here they stay tables.
 
+#: Rows of items that meet antecedents, per task of ``predict_by_rules``: its counts lie in memory.
+TASK_ROWS = 2_000_000
+
 
 def fit_kmeans(
     df: DataFrame, features: str = "features", k: int = 2, seed: int = 1, max_iter: int = 20, tol: float = 1e-4
@@ -163,17 +166,18 @@ def rule_postings(rules: DataFrame, antecedent: str = "antecedent", consequent:
     return postings, written(follows.unionAll(selves), "consequents")
 
 
-def fired_rules(entries: DataFrame, postings: DataFrame, follows: DataFrame, key: str) -> DataFrame:
+def fired_rules(entries: DataFrame, postings: DataFrame, follows: DataFrame, key: str, dealt: bool = False) -> DataFrame:
     """``key, item``: consequents of the antecedents whose items all are among the basket's, less what it holds.
 
     ``entries`` has one row ``key, item`` for each item of a basket. A basket meets an
     antecedent once for each shared item; these rows shrink to one count per basket and
     antecedent, and an antecedent has fired if the count reaches its length. No row
     carries a list, so a basket of n items costs n rows and not their square. The entries
-    are dealt out by basket, so with rules small enough to be broadcast nothing else is shuffled. A null
-    item matches nothing.
+    are dealt out by basket, unless they lie so (``dealt``), so with rules small enough to be broadcast nothing else
+    is shuffled. A null item matches nothing.
     """
-    met = entries.repartition(key).join(postings, "item").groupBy(key, "antecedent_id", "n_items").agg(F.count(F.lit(1)).alias("n"))
+    rows = entries if dealt else entries.repartition(key)
+    met = rows.join(postings, "item").groupBy(key, "antecedent_id", "n_items").agg(F.count(F.lit(1)).alias("n"))
     fired = met.where(F.col("n") == F.col("n_items")).join(follows, "antecedent_id")
     offered = fired.groupBy(key, F.col("consequent").alias("item")).agg(F.max("held").alias("held"))
     return offered.where(~F.col("held")).select(key, "item")
@@ -183,11 +187,22 @@ def predict_by_rules(model: FPGrowthModel, df: DataFrame, key: str, items: str =
     """Add ``prediction``: consequents of all matching rules that the basket does not hold yet, sorted.
 
     ``key`` names a basket: rows that share one are taken as one basket, and each gets its predictions.
-    A null or empty basket gets an empty list; null items are left out.
+    A null or empty basket gets an empty list; null items are left out. ``df`` is read three times. Baskets are dealt
+    into as many tasks as their meetings with antecedents ask for (``TASK_ROWS``), which are counted before.
     """
-    entries = df.select(F.col(key), F.explode(items).alias("item")).where(F.col("item").isNotNull()).distinct()
+    held_items = df.select(F.col(key), F.explode(items).alias("item")).where(F.col("item").isNotNull())
     rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("consequent"))
-    found = fired_rules(entries, *rule_postings(rules), key)
+    postings, follows = rule_postings(rules)
+    entries = held_items.repartition(_tasks_to_meet(held_items, postings), key).distinct()
+    found = fired_rules(entries, postings, follows, key, dealt=True)
     predicted = found.groupBy(key).agg(F.sort_array(F.collect_list("item")).alias("_prediction"))
     nothing = F.array().cast(df.schema[items].dataType)
     return df.join(predicted, key, "left").select(*df.columns, F.coalesce("_prediction", nothing).alias("prediction"))
+
+
+def _tasks_to_meet(entries: DataFrame, postings: DataFrame) -> int:
+    """As many tasks as the session shuffles into, or more if one would meet more than ``TASK_ROWS`` postings."""
+    lengths = postings.groupBy("item").agg(F.count(F.lit(1)).alias("length"))
+    counts = entries.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    met = counts.join(lengths, "item").agg(F.sum(F.col("n") * F.col("length"))).first()[0] or 0
+    return max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-met // TASK_ROWS))

@@ -15,6 +15,7 @@ from tabulon.operators import evaluate, features, gram, principal, supervised, t
 from tabulon.plans import inputs, jobs
 from tabulon.plans.feature_queries import STOPS
 from tabulon.plans.registry import query, rounded
+from tabulon.session import written
 from tabulon.sources import read_table
 
 NAMES = ["l_quantity", "l_discount", "l_tax"]
@@ -746,7 +747,7 @@ def _predicted(df: DataFrame) -> DataFrame:
 
 @query("rule_predictions", _PREDICTED_SQL)
 def rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    baskets = inputs.baskets(spark, folder)
+    baskets = written(inputs.baskets(spark, folder), "baskets")
     model = unsupervised.fit_itemsets(baskets, min_support=_SUPPORT, min_confidence=_CONFIDENCE)
     return _predicted(unsupervised.predict_by_rules(model, baskets, "basket"))
 

@@ -37,6 +37,20 @@ def test_odd_baskets(spark):
     assert unsupervised.predict_by_rules(model, df.limit(0), "id").collect() == []
 
 
+def test_tasks_by_meetings(spark, monkeypatch):
+    """Baskets are dealt into tasks by what they meet, and small tasks are not put together again."""
+    df = random_baskets(spark)
+    model = unsupervised.fit_itemsets(df, min_support=0.04, min_confidence=0.2)
+    rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("consequent"))
+    postings, _ = unsupervised.rule_postings(rules)
+    met = df.select(F.explode("items").alias("item")).join(postings, "item").count()
+    monkeypatch.setattr(unsupervised, "TASK_ROWS", met // 50, raising=False)
+    found = unsupervised.predict_by_rules(model, df, "id")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert min(int(n) for n in re.findall(r"hashpartitioning\(id#\d+L?, (\d+)\), REPARTITION_BY_NUM", text)) >= 50
+    assert predictions(found) == predictions(model.transform(df))
+
+
 def test_a_basket_of_ten_thousand_items(spark):
     """Every rule i -> i + 1 up to 10,000 fires for the items it holds; half of the consequents are there."""
     n = 10_000
