@@ -21,7 +21,7 @@ from tabulon.llm.common import by_batch, offsets_before, stored, sub_batches
 from tabulon.llm.tokens import encoder
 
 #: Pieces of text that a worker remembers: it lies beside a JVM that the stages before have filled.
-PACK_UNITS = 400_000
+PACK_UNITS = 300_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

@@ -14,7 +14,7 @@ from tabulon.session import held, scratch_path, written
 # Applying rules inside the library ships every rule to every task; here they stay tables.
 
 #: Rows of items that meet antecedents, per task of ``predict_by_rules``: its counts lie in memory.
-TASK_ROWS = 2_000_000
+TASK_ROWS = 500_000
 
 
 def fit_kmeans(
