@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabulon.operators import evaluate, features, supervised
-from tabulon.plans import jobs
+from tabulon.plans import inputs, jobs, recommend_queries
 
 
 def rows(spark, n=300):
@@ -44,3 +44,17 @@ def test_index_reads_its_categories_once_and_holds_nothing(spark, monkeypatch):
     train, seen = counted(spark, rows(spark), "cat1")
     data = jobs.prepare_table(train)[0]
     assert kept == [False] and seen.value == 300 and data.arity == 4
+
+
+def test_saved_model_reads_ratings_once(spark, folder, monkeypatch):
+    seen = []
+    ratings = inputs.ratings
+
+    def watched(*where):
+        rows, count = counted(spark, ratings(*where).withColumn("rating", F.col("rating").cast("double")), "rating")
+        seen.append((rows, count))
+        return rows
+
+    monkeypatch.setattr(inputs, "ratings", watched)
+    found = recommend_queries.als_save_load(spark, folder).first()
+    assert len(seen) == 1 and seen[0][1].value == ratings(spark, folder).count() == found["n"] and found["max_change"] == 0
