@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
@@ -122,19 +121,34 @@ class UnitEncoder:
         return ids + self.tails[tail] if tail else ids
 
     def _flush(self) -> None:
-        found = list(map(self._plain_ids, self.pending))
-        rest = [k for k, ids in enumerate(found) if ids is None]
+        """Encode the new pieces. Their ids go to two flat lists: a list per piece would keep Python's garbage collector busy."""
+        plain, odd, lengths, rest = [], [], [], []
+        plain_ids = self._plain_ids
+        for k, unit in enumerate(self.pending):
+            ids = plain_ids(unit)
+            if ids is None:
+                rest.append(k)
+                lengths.append(0)
+            else:
+                plain += ids
+                lengths.append(len(ids))
         for at in range(0, len(rest), 20_000):
             some = rest[at : at + 20_000]
             coded = self.tokenizer.encode_batch_fast([self.pending[k] for k in some], add_special_tokens=False)
             for k, one in zip(some, coded):
-                found[k] = one.ids
-        lengths = list(map(len, found))
-        ids = [self.pool, np.fromiter(chain.from_iterable(found), np.uint32, count=sum(lengths))]
+                ids = one.ids
+                odd += ids
+                lengths[k] = len(ids)
         self.pending = []
-        self.pool = np.concatenate(ids)
-        ends = self.starts[-1] + np.cumsum(np.asarray(lengths, np.int64))
-        self.starts = np.concatenate([self.starts, ends])
+        counts = np.array(lengths, np.int64)
+        by_library = np.zeros(len(counts), bool)
+        by_library[rest] = True
+        from_library = np.repeat(by_library, counts)
+        fresh = np.empty(len(from_library), np.uint32)
+        fresh[from_library] = odd
+        fresh[~from_library] = plain
+        self.pool = np.concatenate([self.pool, fresh])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
 
     def _units(self, text: str) -> np.ndarray:
         if self.keeps_blanks:

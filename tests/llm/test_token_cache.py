@@ -1,5 +1,6 @@
 """The cache of pieces stays small, keeps what is frequent, and changes no id; the coder finds the same values."""
 
+import gc
 import random
 
 import numpy as np
@@ -53,3 +54,23 @@ def test_round_trip_when_a_share_is_nothing(monkeypatch):
     ids = np.random.default_rng(6).integers(0, 5, 5000).astype(np.uint32)
     words, used = coder.encode_ids(ids, 5)
     assert (coder.decode_ids(words, used, len(ids), 5) == ids).all()
+
+
+@pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_new_pieces_do_not_wake_the_garbage_collector(name, keeps):
+    """Ids of plain and odd new pieces stay in order, and no list is kept for each of them."""
+    draw = random.Random(4)
+    odd = ["x1", "émile", "naïve,", "日本", "a-b", "", "\n", "don't"]
+    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(20_000)]
+    texts = [" ".join(draw.choices(words, k=60) + draw.choices(odd, k=9)) for _ in range(400)]
+    encoder = UnitEncoder(tokenizer_path(name), keeps)
+    begun = []
+    gc.collect()
+    gc.callbacks.append(count := lambda phase, info: begun.append(phase))
+    try:
+        ids, counts = encoder.encode(texts, end_id=None)
+    finally:
+        gc.callbacks.remove(count)
+    want = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    assert encoder.used > 10_000 and begun.count("start") <= 2
